@@ -1,63 +1,73 @@
-"""Typed access to the header of a change event held in a variant."""
+"""Typed access to a change event held in a variant.
+
+``line`` is a one-element variant array with the event, as the source parses it.
+Paths lead through the element, so the event itself is never copied out.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sluice.functions.cluster_time import MAX_ORDINAL, MAX_SECONDS
 
+_EVENT = "$[0]"
+
+
+def is_single(line: Column) -> Column:
+    """Whether the line holds exactly one JSON value."""
+    second = F.try_variant_get(line, "$[1]", "variant")
+    return line.isNotNull() & second.isNull()
+
 
-def field(event: Column, name: str) -> Column:
+def field(line: Column, name: str) -> Column:
     """A top-level field as a variant: NULL when absent, variant null when JSON null."""
     if "'" in name:
         raise ValueError(f"a quote is not allowed in a field name: {name!r}")
-    return F.try_variant_get(event, f"$['{name}']", "variant")
+    return F.try_variant_get(line, f"{_EVENT}['{name}']", "variant")
 
 
-def _string(event: Column, path: str) -> Column:
+def _string(line: Column, path: str) -> Column:
     # No cast: a number or object in a place that must hold a string is NULL.
-    found = F.try_variant_get(event, path, "variant")
-    return F.when(
-        F.schema_of_variant(found) == "STRING", F.try_variant_get(event, path, "string")
-    )
+    found = F.try_variant_get(line, _EVENT + path, "variant")
+    text = F.try_variant_get(found, "$", "string")
+    return F.when(F.schema_of_variant(found) == "STRING", text)
 
 
-def _integer(event: Column, path: str, largest: int) -> Column:
-    found = F.try_variant_get(event, path, "variant")
-    value = F.try_variant_get(event, path, "bigint")
-    return F.when(
-        (F.schema_of_variant(found) == "BIGINT") & value.between(0, largest), value
-    )
+def _integer(line: Column, path: str, largest: int) -> Column:
+    found = F.try_variant_get(line, _EVENT + path, "variant")
+    value = F.try_variant_get(found, "$", "bigint")
+    is_integer = F.schema_of_variant(found) == "BIGINT"
+    return F.when(is_integer & value.between(0, largest), value)
 
 
-def token(event: Column) -> Column:
+def token(line: Column) -> Column:
     """The position; NULL when ``_id`` is no object or holds no ``_data`` string."""
-    return _string(event, "$._id._data")
+    return _string(line, "._id._data")
 
 
-def operation(event: Column) -> Column:
-    return _string(event, "$.operationType")
+def operation(line: Column) -> Column:
+    return _string(line, ".operationType")
 
 
-def database(event: Column) -> Column:
-    return _string(event, "$.ns.db")
+def database(line: Column) -> Column:
+    return _string(line, ".ns.db")
 
 
-def collection(event: Column) -> Column:
-    return _string(event, "$.ns.coll")
+def collection(line: Column) -> Column:
+    return _string(line, ".ns.coll")
 
 
-def seconds(event: Column) -> Column:
-    return _integer(event, "$.clusterTime.T", MAX_SECONDS)
+def seconds(line: Column) -> Column:
+    return _integer(line, ".clusterTime.T", MAX_SECONDS)
 
 
-def ordinal(event: Column) -> Column:
-    return _integer(event, "$.clusterTime.I", MAX_ORDINAL)
+def ordinal(line: Column) -> Column:
+    return _integer(line, ".clusterTime.I", MAX_ORDINAL)
 
 
-def ordering_key(event: Column, name: str) -> Column:
+def ordering_key(line: Column, name: str) -> Column:
     """Text of one top-level field: strings plain, everything else as JSON text.
 
     NULL only when the field is absent.
     """
-    found = field(event, name)
+    found = field(line, name)
     return F.coalesce(F.try_variant_get(found, "$", "string"), F.to_json(found))

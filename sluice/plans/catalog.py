@@ -8,7 +8,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import cluster_time, shapes
@@ -64,6 +64,10 @@ def _events(spark: SparkSession, sf_dir: str, ordering_by: str | None = None) ->
     return quarantine.valid(quarantine.label(decoded, ordering_by))
 
 
+def _day_text() -> Column:
+    return F.col("cluster_date").cast("string").alias("cluster_date")
+
+
 def _text_events(lines: DataFrame) -> DataFrame:
     return quarantine.valid(quarantine.label(change_log.decode(change_log.parse(lines))))
 
@@ -85,7 +89,7 @@ def change_log_archive(spark, sf_dir):
     change_log.write_archive(_events(spark, sf_dir), path)
     stored = change_log.read_archive(spark, path)
     later = change_log.after_position(stored, RELAY_START, 0)
-    return later.select("token", "T", "I", "db", "coll", "cluster_date")
+    return later.select("token", "T", "I", "db", "coll", _day_text())
 
 
 def namespace_filter(spark, sf_dir):
@@ -262,7 +266,7 @@ def _sink(spark, sf_dir, destination, ordering_by=None):
     events = _events(spark, sf_dir, ordering_by)
     options = sinks.SinkOptions(fresh_dir(spark, "sink"))
     sink = sinks.SINKS[destination]
-    sink.write(sink.shape(events, options), options, "once", 0)
+    sink.write(sink.shape(relay.by_day(events), options), options, "once", 0)
     return spark, options.path(destination)
 
 
@@ -273,7 +277,12 @@ def _read_table(spark, path):
 def warehouse_sink(spark, sf_dir):
     stored = _read_table(*_sink(spark, sf_dir, WAREHOUSE))
     return stored.select(
-        "id", "operationType", "clusterTime", "table", "cluster_date", "batch_id"
+        "id",
+        "operationType",
+        "clusterTime",
+        "table",
+        _day_text(),
+        F.col("batch_id").cast("bigint").alias("batch_id"),
     )
 
 
@@ -289,7 +298,7 @@ def keyed_stream_sink(spark, sf_dir):
 
 def file_sink(spark, sf_dir):
     _, path = _sink(spark, sf_dir, FILE)
-    return spark.read.text(path).select("log", "cluster_date", "value")
+    return spark.read.text(path).select("log", _day_text(), "value")
 
 
 def partition_expiration(spark, sf_dir):
@@ -298,14 +307,14 @@ def partition_expiration(spark, sf_dir):
     retention.drop_expired(
         spark, f"{path}/table=changes", RETENTION_AS_OF, days=RETENTION_DAYS
     )
-    return _read_table(spark, path).select("id", "cluster_date")
+    return _read_table(spark, path).select("id", _day_text())
 
 
 def partition_expiration_filter(spark, sf_dir):
     """The same limit as a partition filter on the stored table."""
     _, path = _sink(spark, sf_dir, WAREHOUSE)
-    stored = _read_table(spark, path).select("id", "cluster_date")
-    return retention.unexpired(stored, RETENTION_AS_OF, RETENTION_DAYS)
+    kept = retention.unexpired(_read_table(spark, path), RETENTION_AS_OF, RETENTION_DAYS)
+    return kept.select("id", _day_text())
 
 
 def route_by_collection(spark, sf_dir):
@@ -353,7 +362,8 @@ def _relay_all(spark, sf_dir, configured, survive=None) -> None:
 def _relayed(spark, sf_dir, destinations=DESTINATIONS, **settings) -> relay.Relay:
     """Relay the whole log to the destinations; returns the relay."""
     root = fresh_dir(spark, "relay")
-    configured = relay.Relay(list(destinations), sinks.SinkOptions(root), **settings)
+    options = sinks.SinkOptions(root)
+    configured = relay.Relay(list(destinations), options, backfill=True, **settings)
     _relay_all(spark, sf_dir, configured)
     return configured
 
@@ -402,7 +412,7 @@ def replay_idempotent(spark, sf_dir):
 
     faulty = {**sinks.SINKS, KEYED_STREAM: sinks.Sink(good.shape, fails_once)}
     options = sinks.SinkOptions(fresh_dir(spark, "relay"))
-    configured = relay.Relay(list(DESTINATIONS), options, sinks=faulty)
+    configured = relay.Relay(list(DESTINATIONS), options, backfill=True, sinks=faulty)
     _relay_all(spark, sf_dir, configured, survive=message)
     return _delivered(spark, options)
 

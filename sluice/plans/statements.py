@@ -157,7 +157,7 @@ STATEMENTS: dict[str, str] = {
         'doc AS "fullDocument", ns, doc_key AS "documentKey", upd AS "updateDescription" FROM c'
     ),
     "change_log_archive": _over_changes(
-        'SELECT token, t AS "T", i AS "I", db, coll, CAST(event_time AS DATE) AS cluster_date '
+        'SELECT token, t AS "T", i AS "I", db, coll, CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date '
         f"FROM c WHERE t > {RELAY_START} OR (t = {RELAY_START} AND i > 0)"
     ),
     "namespace_filter": _over_changes(
@@ -246,7 +246,7 @@ STATEMENTS: dict[str, str] = {
     ),
     "warehouse_sink": _over_changes(
         'SELECT id, op AS "operationType", event_time AS "clusterTime", \'changes\' AS "table", '
-        "CAST(event_time AS DATE) AS cluster_date, 0 AS batch_id FROM c"
+        "CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date, CAST(0 AS BIGINT) AS batch_id FROM c"
     ),
     "topic_sink": _over_changes(
         "SELECT 'changes' AS topic, doc_key AS ordering_key, seq AS sequence, "
@@ -256,10 +256,10 @@ STATEMENTS: dict[str, str] = {
         f"SELECT 'changes' AS stream, token AS partition_key, {_RECORD} || chr(10) AS value FROM c"
     ),
     "file_sink": _over_changes(
-        f"SELECT 'changes' AS log, CAST(event_time AS DATE) AS cluster_date, {_LINE} AS value FROM c"
+        f"SELECT 'changes' AS log, CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date, {_LINE} AS value FROM c"
     ),
     "partition_expiration": _over_changes(
-        "SELECT id, CAST(event_time AS DATE) AS cluster_date FROM c "
+        "SELECT id, CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date FROM c "
         f"WHERE event_time >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL {RETENTION_DAYS} DAY"
     ),
     "route_by_collection": _over_changes(

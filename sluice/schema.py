@@ -23,10 +23,7 @@ KEYED_STREAM = "kinesisStream"
 FILE = "file"
 DESTINATIONS = (WAREHOUSE, TOPIC, KEYED_STREAM, FILE)
 
-# Header columns of a decoded event; (T, I) is its cluster time.
-HEADER_FIELDS = ("token", "operationType", "T", "I", "db", "coll")
-
-# One event after decoding: typed header, payloads as canonical JSON text.
+# One event after decoding: typed header with cluster time (T, I), payloads as canonical JSON text.
 ENCODED_EVENT = T.StructType(
     [
         T.StructField("token", T.StringType()),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import cluster_time, envelope, json_text
-from sluice.schema import ENCODED_EVENT, HEADER_FIELDS, PAYLOAD_FIELDS
+from sluice.schema import ENCODED_EVENT, PAYLOAD_FIELDS
 
 EARLIEST = "earliest"
 LATEST = "latest"
@@ -31,26 +31,18 @@ def stream_lines(
 
 
 def parse(lines: DataFrame) -> DataFrame:
-    """``value`` lines -> ``raw`` and ``event`` (variant, NULL when not one JSON value).
+    """``value`` lines -> ``raw`` and ``line``, a variant array that holds the event.
 
     The line is parsed as the only element of an array: the parser stops after the
     first complete value, so a line with two glued events would otherwise pass as
-    its first one.
+    its first one. ``line`` is NULL for text that is no JSON.
     """
     whole = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    parsed = lines.select(F.col("value").alias("raw"), whole.alias("whole"))
-    single = F.try_variant_get("whole", "$[1]", "variant").isNull()
-    closed = F.rtrim(F.col("raw")).endswith("}")
-    return parsed.select(
-        "raw",
-        F.when(
-            single & closed, F.try_variant_get("whole", "$[0]", "variant")
-        ).alias("event"),
-    )
+    return lines.select(F.col("value").alias("raw"), whole.alias("line"))
 
 
 def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
-    """``event`` -> the encoded event columns, next to the ``raw`` line.
+    """``line`` -> the encoded event columns, next to the ``raw`` text.
 
     Payloads become canonical JSON text once, to be reused by every destination.
     Header fields that are absent or of another type are NULL; see
@@ -61,29 +53,26 @@ def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
     expression copied into them, and every line would be parsed many times over.
     Payload columns are left out of it, so unused ones are pruned.
     """
-    event = F.col("event")
-    header = [
-        event.isNotNull().alias("parsed"),
-        envelope.token(event).alias("token"),
-        envelope.operation(event).alias("operationType"),
-        envelope.seconds(event).alias("T"),
-        envelope.ordinal(event).alias("I"),
-        envelope.database(event).alias("db"),
-        envelope.collection(event).alias("coll"),
-    ]
+    line = F.col("line")
+    header = {
+        "parsed": envelope.is_single(line) & F.rtrim("raw").endswith("}"),
+        "token": envelope.token(line),
+        "operationType": envelope.operation(line),
+        "T": envelope.seconds(line),
+        "I": envelope.ordinal(line),
+        "db": envelope.database(line),
+        "coll": envelope.collection(line),
+    }
     if ordering_by:
-        header.append(envelope.ordering_key(event, ordering_by).alias("ordering_key"))
-    names = ["parsed", *HEADER_FIELDS] + (["ordering_key"] if ordering_by else [])
-    extracted = parsed.select("raw", "event", *header)
-    once = extracted.select("raw", "event", F.inline(F.array(F.struct(*names))))
-    return once.select(
-        "raw",
-        *names,
-        *[
-            json_text.encode(envelope.field(event, name)).alias(name)
-            for name in PAYLOAD_FIELDS
-        ],
-    )
+        header["ordering_key"] = envelope.ordering_key(line, ordering_by)
+    named = [column.alias(name) for name, column in header.items()]
+    extracted = parsed.select("raw", "line", *named)
+    once = extracted.select("raw", "line", F.inline(F.array(F.struct(*header))))
+    payloads = [
+        json_text.encode(envelope.field(line, name)).alias(name)
+        for name in PAYLOAD_FIELDS
+    ]
+    return once.select("raw", *header, *payloads)
 
 
 def encoded_columns(events: DataFrame) -> list[str]:
@@ -101,7 +90,7 @@ def write_archive(events: DataFrame, path: str, mode: str = "append") -> None:
         "cluster_date", cluster_time.as_date(F.col("T"))
     )
     (
-        days.hint("rebalance", F.col("cluster_date"))
+        days.hint("rebalance", "cluster_date")
         .write.mode(mode)
         .partitionBy("cluster_date")
         .parquet(path)

@@ -20,6 +20,17 @@ COLLECTIONS = 4
 TEXT_EPOCH_SECONDS = 1704067200
 
 
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A stored table, spread over all cores when its files hold too few splits.
+
+    A small table of one row group is read by one task, which would then build and
+    parse all its lines. A table with enough splits is left as it is.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _token(seconds: Column, ordinal: Column) -> Column:
     digits = [F.lpad(F.hex(part), 8, "0") for part in (seconds, ordinal)]
     return F.concat(F.lit("82"), *digits)
@@ -56,7 +67,7 @@ def event_lines(
     ``since`` and ``before`` (timestamp texts) select a part of the log; they reach
     the scan of the table.
     """
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = read_table(spark, sf_dir, "events")
     if since is not None:
         rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     if before is not None:
@@ -106,7 +117,7 @@ def _inserts(rows: DataFrame, coll: str, second: str, ordinal: Column, key: dict
 def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations`` as inserts with free text."""
     return _inserts(
-        spark.read.parquet(f"{sf_dir}/conversations.parquet"),
+        read_table(spark, sf_dir, "conversations"),
         "conversations",
         "conv_id",
         F.col("turn"),
@@ -118,7 +129,7 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as inserts with long texts."""
     return _inserts(
-        spark.read.parquet(f"{sf_dir}/documents.parquet"),
+        read_table(spark, sf_dir, "documents"),
         "documents",
         "doc_id",
         F.lit(0).cast("bigint"),
@@ -130,7 +141,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as inserts with markup."""
     return _inserts(
-        spark.read.parquet(f"{sf_dir}/pages.parquet"),
+        read_table(spark, sf_dir, "pages"),
         "pages",
         "page_id",
         F.lit(0).cast("bigint"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.functions import cluster_time
 from sluice.operators import audit, lookup, quarantine, routing
 from sluice.schema import FILE
 from sluice.sources import change_log
@@ -28,18 +29,24 @@ STRICT = "strict"
 class Relay:
     """What to relay where.
 
-    ``snapshot`` is asked in every batch for the current documents that update events
+    ``namespace`` (db, and a collection or None) limits what is watched. ``positions``
+    are positions that an earlier run has saved: events up to the one of their
+    collection are left out. ``snapshot`` is asked in every batch for the current documents that update events
     are given. ``routes`` send each collection to its own targets; without them every collection goes to the one
     target of each destination. ``save_interval`` throttles the position ledger.
+    ``backfill`` is for batches that hold many days: see ``by_day``.
     """
 
     destinations: list[str]
     options: SinkOptions
     mode: str = QUARANTINE
     ordering_by: str | None = None
+    namespace: tuple[str, str | None] | None = None
+    positions: DataFrame | None = None
     snapshot: Callable[[], DataFrame] | None = None
     routes: Iterable[routing.Route] | None = None
     save_interval: int | None = None
+    backfill: bool = False
     sinks: dict[str, Sink] | None = None
 
     def __post_init__(self):
@@ -71,9 +78,31 @@ def prepare(relay: Relay, lines: DataFrame) -> DataFrame:
         payloads=True,
         objects_only=FILE in relay.destinations,
     )
-    if relay.snapshot is None:
-        return labelled
-    return lookup.attach_documents(labelled, relay.snapshot())
+    if relay.namespace is not None:
+        # Rows without a readable namespace belong to no collection: they stay, and
+        # are quarantined.
+        db, coll = relay.namespace
+        watched = F.col("db") == db
+        if coll is not None:
+            watched = watched & (F.col("coll") == coll)
+        labelled = labelled.where(F.coalesce(watched, F.lit(True)))
+    if relay.positions is not None:
+        labelled = ledger.resume_each(labelled, relay.positions)
+    if relay.snapshot is not None:
+        labelled = lookup.attach_documents(labelled, relay.snapshot())
+    return labelled
+
+
+def by_day(labelled: DataFrame) -> DataFrame:
+    """Bring the rows of a day together, so that few tasks write to its partitions.
+
+    Every task writes one file per day it holds. A live batch holds one or two days
+    and needs no shuffle; the batches of a backfill hold many, and without this every
+    task would write a file into each of them. Large days are split over tasks and
+    small days share one, by size.
+    """
+    days = labelled.withColumn("cluster_date", cluster_time.as_date(F.col("T")))
+    return days.hint("rebalance", "cluster_date").drop("cluster_date")
 
 
 def _together(tasks: list[Callable[[], None]]) -> None:
@@ -86,7 +115,10 @@ def _together(tasks: list[Callable[[], None]]) -> None:
 
 def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> None:
     """Relay one batch of lines. The same run and batch can be relayed again."""
-    labelled = prepare(relay, lines).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = prepare(relay, lines)
+    if relay.backfill:
+        labelled = by_day(labelled)
+    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if relay.mode == STRICT:
             events = quarantine.require_valid(labelled)
