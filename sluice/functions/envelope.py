@@ -1,7 +1,8 @@
 """Typed access to a change event held in a variant.
 
-``line`` is a one-element variant array with the event, as the source parses it.
-Paths lead through the element, so the event itself is never copied out.
+All functions read the column ``line``, a one-element variant array with the event,
+as the source parses it. Paths lead through the element, so the event itself is
+never copied out.
 """
 
 from pyspark.sql import Column
@@ -9,65 +10,66 @@ from pyspark.sql import functions as F
 
 from sluice.functions.cluster_time import MAX_ORDINAL, MAX_SECONDS
 
-_EVENT = "$[0]"
 
-
-def is_single(line: Column) -> Column:
+def is_single() -> Column:
     """Whether the line holds exactly one JSON value."""
-    second = F.try_variant_get(line, "$[1]", "variant")
-    return line.isNotNull() & second.isNull()
+    return F.expr("line IS NOT NULL AND try_variant_get(line, '$[1]', 'variant') IS NULL")
 
 
-def field(line: Column, name: str) -> Column:
+def field(name: str) -> Column:
     """A top-level field as a variant: NULL when absent, variant null when JSON null."""
     if "'" in name:
         raise ValueError(f"a quote is not allowed in a field name: {name!r}")
-    return F.try_variant_get(line, f"{_EVENT}['{name}']", "variant")
+    return F.try_variant_get("line", f"$[0]['{name}']", "variant")
+
+
+def _typed(path: str, json_type: str, spark_type: str) -> str:
+    # No cast between types: a number in a place that must hold a string is NULL.
+    found = f"try_variant_get(line, '$[0].{path}', 'variant')"
+    return (
+        f"CASE WHEN schema_of_variant({found}) = '{json_type}' "
+        f"THEN try_variant_get({found}, '$', '{spark_type}') END"
+    )
 
 
-def _string(line: Column, path: str) -> Column:
-    # No cast: a number or object in a place that must hold a string is NULL.
-    found = F.try_variant_get(line, _EVENT + path, "variant")
-    text = F.try_variant_get(found, "$", "string")
-    return F.when(F.schema_of_variant(found) == "STRING", text)
+def _string(path: str) -> Column:
+    return F.expr(_typed(path, "STRING", "string"))
 
 
-def _integer(line: Column, path: str, largest: int) -> Column:
-    found = F.try_variant_get(line, _EVENT + path, "variant")
-    value = F.try_variant_get(found, "$", "bigint")
-    is_integer = F.schema_of_variant(found) == "BIGINT"
-    return F.when(is_integer & value.between(0, largest), value)
+def _integer(path: str, largest: int) -> Column:
+    value = F.expr(_typed(path, "BIGINT", "bigint"))
+    return F.when(value.between(0, largest), value)
 
 
-def token(line: Column) -> Column:
+def token() -> Column:
     """The position; NULL when ``_id`` is no object or holds no ``_data`` string."""
-    return _string(line, "._id._data")
+    return _string("_id._data")
 
 
-def operation(line: Column) -> Column:
-    return _string(line, ".operationType")
+def operation() -> Column:
+    return _string("operationType")
 
 
-def database(line: Column) -> Column:
-    return _string(line, ".ns.db")
+def database() -> Column:
+    return _string("ns.db")
 
 
-def collection(line: Column) -> Column:
-    return _string(line, ".ns.coll")
+def collection() -> Column:
+    return _string("ns.coll")
 
 
-def seconds(line: Column) -> Column:
-    return _integer(line, ".clusterTime.T", MAX_SECONDS)
+def seconds() -> Column:
+    return _integer("clusterTime.T", MAX_SECONDS)
 
 
-def ordinal(line: Column) -> Column:
-    return _integer(line, ".clusterTime.I", MAX_ORDINAL)
+def ordinal() -> Column:
+    return _integer("clusterTime.I", MAX_ORDINAL)
 
 
-def ordering_key(line: Column, name: str) -> Column:
+def ordering_key(name: str) -> Column:
     """Text of one top-level field: strings plain, everything else as JSON text.
 
     NULL only when the field is absent.
     """
-    found = field(line, name)
+    found = field(name)
     return F.coalesce(F.try_variant_get(found, "$", "string"), F.to_json(found))

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DAY_PREFIX = "cluster_date="
+DAY_COLUMN = "cluster_date"
 
 
 def first_kept_day(as_of: dt.date, days: int) -> dt.date:
@@ -20,17 +20,23 @@ def unexpired(rows: DataFrame, as_of: dt.date, days: int) -> DataFrame:
     return rows.where(F.col("cluster_date") >= F.lit(first_kept_day(as_of, days)))
 
 
-def day_partitions(spark: SparkSession, path: str) -> list[tuple[dt.date, str]]:
-    """(day, folder) of a day-partitioned table; only folder names are listed."""
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under a path; nothing when there is no such path."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = [s.getPath().toString() for s in files.listStatus(root) if s.isDirectory()]
+    return sorted(found)
+
+
+def day_partitions(spark: SparkSession, path: str) -> list[tuple[dt.date, str]]:
+    """(day, folder) of a day-partitioned table; only folder names are listed."""
     found = []
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(DAY_PREFIX):
-            day = name[len(DAY_PREFIX) :]
-            if day != "__HIVE_DEFAULT_PARTITION__":
-                found.append((dt.date.fromisoformat(day), status.getPath().toString()))
+    for folder in folders(spark, path):
+        name, _, day = folder.rsplit("/", 1)[-1].partition("=")
+        if name == DAY_COLUMN and day != "__HIVE_DEFAULT_PARTITION__":
+            found.append((dt.date.fromisoformat(day), folder))
     return sorted(found)
 
 

@@ -21,13 +21,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_lines(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
+    """New files of a folder as they arrive.
+
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a micro-batch, which is
+    how a long backlog is worked off in pieces that fit the cluster. Any other stream
+    with a string column ``value`` can take the place of this one.
+    """
+    return spark.readStream.format("text").options(**options).load(path)
 
 
 def parse(lines: DataFrame) -> DataFrame:
@@ -53,23 +54,22 @@ def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
     expression copied into them, and every line would be parsed many times over.
     Payload columns are left out of it, so unused ones are pruned.
     """
-    line = F.col("line")
     header = {
-        "parsed": envelope.is_single(line) & F.rtrim("raw").endswith("}"),
-        "token": envelope.token(line),
-        "operationType": envelope.operation(line),
-        "T": envelope.seconds(line),
-        "I": envelope.ordinal(line),
-        "db": envelope.database(line),
-        "coll": envelope.collection(line),
+        "parsed": envelope.is_single() & F.rtrim("raw").endswith("}"),
+        "token": envelope.token(),
+        "operationType": envelope.operation(),
+        "T": envelope.seconds(),
+        "I": envelope.ordinal(),
+        "db": envelope.database(),
+        "coll": envelope.collection(),
     }
     if ordering_by:
-        header["ordering_key"] = envelope.ordering_key(line, ordering_by)
+        header["ordering_key"] = envelope.ordering_key(ordering_by)
     named = [column.alias(name) for name, column in header.items()]
     extracted = parsed.select("raw", "line", *named)
     once = extracted.select("raw", "line", F.inline(F.array(F.struct(*header))))
     payloads = [
-        json_text.encode(envelope.field(line, name)).alias(name)
+        json_text.encode(envelope.field(name)).alias(name)
         for name in PAYLOAD_FIELDS
     ]
     return once.select("raw", *header, *payloads)

@@ -4,6 +4,8 @@ A stream resumes from its checkpoint. The ledger is for audit, for batch backfil
 and for starting a new relay where an older one ended.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,26 +44,57 @@ def append(positions: DataFrame, path: str, run_id: str, batch_id: int) -> None:
     replace_batch(positions.select(*POSITION.names), path, run_id, batch_id, [])
 
 
-def positions_to_save(
-    events: DataFrame,
-    path: str,
-    run_id: str,
-    batch_id: int,
-    interval: int | None = None,
-) -> DataFrame:
-    """Positions this batch saves: its last ones, or the throttled ones.
+def _state_path(path: str, run_id: str, batch_id: int) -> str:
+    return f"{path}_state/run_id={run_id}/batch_id={batch_id}"
+
+
+def save(
+    events: DataFrame, path: str, run_id: str, batch_id: int, interval: int | None = None
+) -> None:
+    """Save the positions of one batch: its last ones, or the throttled ones.
 
-    Only earlier batches of the same run count as saved before, so a repeated batch
-    decides as it did the first time.
+    A throttled ledger also keeps the last save of every collection as of each batch.
+    The next batch reads that one small table, whatever the age of the ledger, and a
+    repeated batch decides as it did the first time.
     """
     if interval is None:
-        return audit.last_position(events)
+        append(audit.last_position(events), path, run_id, batch_id)
+        return
     spark = events.sparkSession
-    ledger = read(spark, path)
-    saved = None
-    if ledger is not None:
-        saved = ledger.where((F.col("run_id") == run_id) & (F.col("batch_id") < batch_id))
-    return throttle.throttled_positions(events, interval, saved)
+    earlier = None
+    if batch_id > 0:
+        # Batches of a run are consecutive; a missing state is an error, not a start.
+        earlier = spark.read.schema(POSITION).parquet(
+            _state_path(path, run_id, batch_id - 1)
+        )
+    append(throttle.throttled_positions(events, interval, earlier), path, run_id, batch_id)
+    state = read(spark, path)
+    if state is not None:
+        state = state.where((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id))
+        state = state.select(*POSITION.names)
+    if earlier is not None:
+        state = earlier if state is None else state.unionByName(earlier)
+    if state is None:
+        state = spark.createDataFrame([], POSITION)
+    audit.last_position(state).write.mode("overwrite").parquet(
+        _state_path(path, run_id, batch_id)
+    )
+
+
+def remember_start(
+    spark: SparkSession, path: str, find: Callable[[], DataFrame | None]
+) -> DataFrame:
+    """Positions where a relay began, found once and the same after every restart.
+
+    Found again at a restart they would be later ones, and events that arrived
+    in between would be skipped.
+    """
+    if not exists(spark, path):
+        found = find()
+        if found is None:
+            found = spark.createDataFrame([], POSITION)
+        found.select(*POSITION.names).write.parquet(path)
+    return spark.read.schema(POSITION).parquet(path)
 
 
 def resume_each(events: DataFrame, positions: DataFrame) -> DataFrame:

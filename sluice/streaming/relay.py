@@ -135,14 +135,7 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
                 )
             )
         _together(deliveries)
-        ledger.append(
-            ledger.positions_to_save(
-                events, relay.ledger_path, run_id, batch_id, relay.save_interval
-            ),
-            relay.ledger_path,
-            run_id,
-            batch_id,
-        )
+        ledger.save(events, relay.ledger_path, run_id, batch_id, relay.save_interval)
     finally:
         labelled.unpersist()
 

@@ -3,11 +3,11 @@
 import json
 
 import pytest
-from events import event, lines
+from events import encoded, event, lines
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sluice.operators import audit, delivery, lookup, routing
+from sluice.operators import audit, delivery, lookup, routing, throttle
 from sluice.schema import DESTINATIONS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
 from sluice.sources import change_log
 from sluice.streaming import ledger, relay, sinks
@@ -39,7 +39,8 @@ def options(tmp_path, **more):
 
 
 def run(spark, configured, log, checkpoint, files=None):
-    stream = change_log.stream_lines(spark, log.path, files)
+    limit = {} if files is None else {"maxFilesPerTrigger": files}
+    stream = change_log.stream_lines(spark, log.path, **limit)
     relay.start(configured, stream, str(checkpoint)).awaitTermination()
 
 
@@ -205,8 +206,6 @@ def test_namespace_routes_and_targets(spark, tmp_path, log):
 
 
 def test_snapshot_and_ordering_key_in_the_relay(spark, tmp_path, log):
-    from events import encoded
-
     log(batch(0))
     current = [event("z", 10**6, 0, "insert", coll=f"c{c}", key=0, document="now") for c in range(3)]
     configured = relay.Relay(
@@ -250,9 +249,30 @@ def test_files_roll_by_size(spark, tmp_path):
     assert len(sizes) >= 5 and max(sizes) <= 1024 * 1024 * 1.05
 
 
-def test_stdout(spark, tmp_path, capfd):
-    from events import encoded
+def test_throttled_ledger_over_batches(spark, tmp_path, log):
+    """Saves do not depend on how the log is cut; a batch without saves loses nothing."""
+    opts = options(tmp_path)
+    configured = relay.Relay([FILE], opts, save_interval=2 * DAY)
+    for begin, count in ((0, 7), (7, 1), (8, 22)):
+        log(batch(begin, count))
+        run(spark, configured, log, tmp_path / "cp")
+    whole = throttle.throttled_positions(encoded(spark, batch(0, 30)), 2 * DAY)
+    stored = ledger.read(spark, configured.ledger_path)
+    saved = lambda frame: sorted(r["token"] for r in frame.select("token").collect())
+    assert saved(stored) == saved(whole)
+    assert stored.where("batch_id = 1").count() == 0
 
+
+def test_remembered_start_does_not_move(spark, tmp_path):
+    path = str(tmp_path / "start")
+    first = audit.last_position(encoded(spark, batch(0)))
+    later = audit.last_position(encoded(spark, batch(10)))
+    ledger.remember_start(spark, path, lambda: first)
+    kept = ledger.remember_start(spark, path, lambda: later)
+    assert sorted(kept.collect()) == sorted(first.collect())
+
+
+def test_stdout(spark, tmp_path, capfd):
     sinks.write_stdout(encoded(spark, batch(0, 3)), options(tmp_path))
 
 
