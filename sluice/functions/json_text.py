@@ -17,17 +17,19 @@ def encode(payload: Column) -> Column:
     return F.coalesce(F.to_json(payload), F.lit("null"))
 
 
-def _escape(text: Column, pairs) -> Column:
+def _escape(text: str, pairs) -> Column:
     for plain, escaped in pairs:
-        text = F.replace(text, F.lit(plain), F.lit(escaped))
-    return text
+        literal = escaped.replace("\\", "\\\\")
+        text = f"replace({text}, '{plain}', '{literal}')"
+    return F.expr(text)
 
 
-def escape_separators(text: Column) -> Column:
+def escape_separators(text: str) -> Column:
+    """``text`` is a column name or a SQL expression, here and below."""
     return _escape(text, LINE_SEPARATORS)
 
 
-def escape_markup(text: Column) -> Column:
+def escape_markup(text: str) -> Column:
     return _escape(text, LINE_SEPARATORS + MARKUP)
 
 

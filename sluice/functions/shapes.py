@@ -15,7 +15,7 @@ DEFAULT_DOCUMENT_KEY = "cs"
 
 
 def _payload(name: str) -> Column:
-    return json_text.escape_markup(F.col(name))
+    return json_text.escape_markup(name)
 
 
 def warehouse_columns() -> list[Column]:
@@ -34,7 +34,7 @@ def warehouse_row(events: DataFrame) -> DataFrame:
 def delimited(zone: str = "UTC") -> Column:
     """The seven fields joined by pipes: no quoting, no trailing newline."""
     # Escaping four joined payloads costs as many scans as escaping one.
-    payloads = F.concat_ws(SEPARATOR, *PAYLOAD_FIELDS[1:])
+    payloads = f"concat_ws('{SEPARATOR}', {', '.join(PAYLOAD_FIELDS[1:])})"
     return F.concat_ws(
         SEPARATOR,
         _payload("_id"),
@@ -86,7 +86,7 @@ def file_document(zone: str = "UTC") -> Column:
         ),
     }
     members = [
-        (name, other.get(name, json_text.escape_separators(F.col(name))))
+        (name, other.get(name, json_text.escape_separators(name)))
         for name in EVENT_FIELDS
     ]
     return _object(members)

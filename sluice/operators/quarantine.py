@@ -29,16 +29,17 @@ def _any_payload(test) -> Column:
 
 def header_reason(ordering_by: str | None = None) -> Column:
     """Why the header of a decoded row cannot be relayed, or NULL."""
-    found = (
-        F.when(~F.col("parsed"), NOT_JSON)
-        .when(F.col("token").isNull(), NO_TOKEN)
-        .when(F.col("operationType").isNull(), NO_OPERATION)
-        .when(F.col("T").isNull() | F.col("I").isNull(), NO_CLUSTER_TIME)
-        .when(F.col("db").isNull() | F.col("coll").isNull(), NO_NAMESPACE)
-    )
+    rules = [
+        ("NOT parsed", NOT_JSON),
+        ("token IS NULL", NO_TOKEN),
+        ("operationType IS NULL", NO_OPERATION),
+        ("T IS NULL OR I IS NULL", NO_CLUSTER_TIME),
+        ("db IS NULL OR coll IS NULL", NO_NAMESPACE),
+    ]
     if ordering_by:
-        found = found.when(F.col("ordering_key").isNull(), NO_ORDERING_KEY)
-    return found
+        rules.append(("ordering_key IS NULL", NO_ORDERING_KEY))
+    cases = " ".join(f"WHEN {test} THEN '{reason}'" for test, reason in rules)
+    return F.expr(f"CASE {cases} END")
 
 
 def payload_reason(objects_only: bool = False) -> Column:
@@ -70,11 +71,10 @@ def label(
     found = header_reason(ordering_by)
     if payloads:
         found = F.coalesce(found, payload_reason(objects_only))
-    labelled = decoded.withColumn("reason", found)
-    return labelled.select(
+    return decoded.select(
         *encoded_columns(decoded),
-        "reason",
-        F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
+        found.alias("reason"),
+        F.when(found.isNotNull(), F.col("raw")).alias("raw"),
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sluice.functions import cluster_time
 
 SPAN_SECONDS = 86_400
-SPAN_INTERVALS = 128
+SPAN_INTERVALS = 32
 
 _SPAN = ["db", "coll", "span"]
 

@@ -31,32 +31,30 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
-def _token(seconds: Column, ordinal: Column) -> Column:
-    digits = [F.lpad(F.hex(part), 8, "0") for part in (seconds, ordinal)]
-    return F.concat(F.lit("82"), *digits)
-
-
 def _line(
-    operation: Column,
-    seconds: Column,
-    ordinal: Column,
-    coll: Column,
-    key: Column,
-    document: Column,
-    update: Column,
+    operation: str,
+    seconds: str,
+    ordinal: str,
+    coll: str,
+    key: str,
+    document: str,
+    update: str = "CAST(NULL AS STRING)",
 ) -> Column:
-    # to_json leaves NULL fields out, which is how absent fields look on the wire.
-    return F.to_json(
-        F.struct(
-            F.struct(_token(seconds, ordinal).alias("_data")).alias("_id"),
-            operation.alias("operationType"),
-            F.struct(seconds.alias("T"), ordinal.alias("I")).alias("clusterTime"),
-            document.alias("fullDocument"),
-            F.struct(F.lit("app").alias("db"), coll.alias("coll")).alias("ns"),
-            key.alias("documentKey"),
-            update.alias("updateDescription"),
-        )
-    ).alias("value")
+    """The event line, from SQL expressions of its parts.
+
+    ``to_json`` leaves NULL fields out, which is how absent fields look on the wire.
+    """
+    return F.expr(f"""
+        to_json(named_struct(
+            '_id', named_struct('_data', concat(
+                '82', lpad(hex({seconds}), 8, '0'), lpad(hex({ordinal}), 8, '0'))),
+            'operationType', {operation},
+            'clusterTime', named_struct('T', {seconds}, 'I', {ordinal}),
+            'fullDocument', {document},
+            'ns', named_struct('db', 'app', 'coll', {coll}),
+            'documentKey', {key},
+            'updateDescription', {update}))
+    """).alias("value")
 
 
 def event_lines(
@@ -69,47 +67,49 @@ def event_lines(
     """
     rows = read_table(spark, sf_dir, "events")
     if since is not None:
-        rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        rows = rows.where(f"ts >= TIMESTAMP_NTZ '{since}'")
     if before is not None:
-        rows = rows.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
-    operation = F.create_map(
-        *[F.lit(x) for pair in OPERATION_OF_EVENT_TYPE.items() for x in pair]
-    )[F.col("event_type")]
-    value = F.col("value").cast("decimal(18,2)")
-    document = F.struct(
-        F.col("user_id").alias("_id"),
-        F.col("event_type"),
-        value.alias("value"),
-        F.parse_json("props").alias("props"),
+        rows = rows.where(f"ts < TIMESTAMP_NTZ '{before}'")
+    cases = " ".join(
+        f"WHEN '{event_type}' THEN '{operation}'"
+        for event_type, operation in OPERATION_OF_EVENT_TYPE.items()
+    )
+    operation = f"CASE event_type {cases} END"
+    value = "CAST(value AS DECIMAL(18,2))"
+    document = (
+        f"named_struct('_id', user_id, 'event_type', event_type, 'value', {value}, "
+        "'props', parse_json(props))"
     )
-    update = F.struct(
-        F.struct(value.alias("value")).alias("updatedFields"),
-        F.array().cast("array<string>").alias("removedFields"),
+    update = (
+        f"named_struct('updatedFields', named_struct('value', {value}), "
+        "'removedFields', CAST(array() AS ARRAY<STRING>))"
     )
     return rows.select(
         _line(
             operation,
-            F.unix_seconds(F.col("ts").cast("timestamp")),
-            F.col("event_id"),
-            F.concat(F.lit("users_"), (F.col("user_id") % COLLECTIONS).cast("string")),
-            F.struct(F.col("user_id").alias("_id")),
-            F.when(operation != "delete", document),
-            F.when(operation == "update", update),
+            "unix_seconds(CAST(ts AS TIMESTAMP))",
+            "event_id",
+            f"concat('users_', user_id % {COLLECTIONS})",
+            "named_struct('_id', user_id)",
+            f"CASE WHEN {operation} <> 'delete' THEN {document} END",
+            f"CASE WHEN {operation} = 'update' THEN {update} END",
         )
     )
 
 
-def _inserts(rows: DataFrame, coll: str, second: str, ordinal: Column, key: dict, fields: list):
-    key_columns = [F.col(source).alias(name) for name, source in key.items()]
+def _inserts(
+    rows: DataFrame, coll: str, second: str, ordinal: str, key: dict, fields: list
+) -> DataFrame:
+    keys = ", ".join(f"'{name}', {source}" for name, source in key.items())
+    values = ", ".join(f"'{name}', {name}" for name in fields)
     return rows.select(
         _line(
-            F.lit("insert"),
-            F.lit(TEXT_EPOCH_SECONDS).cast("bigint") + F.col(second),
+            "'insert'",
+            f"({TEXT_EPOCH_SECONDS}L + {second})",
             ordinal,
-            F.lit(coll),
-            F.struct(*key_columns),
-            F.struct(*key_columns, *[F.col(name) for name in fields]),
-            F.lit(None).cast("string"),
+            f"'{coll}'",
+            f"named_struct({keys})",
+            f"named_struct({keys}, {values})",
         )
     )
 
@@ -120,7 +120,7 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "conversations"),
         "conversations",
         "conv_id",
-        F.col("turn"),
+        "turn",
         {"_id": "conv_id", "turn": "turn"},
         ["role", "text"],
     )
@@ -132,7 +132,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"),
         "documents",
         "doc_id",
-        F.lit(0).cast("bigint"),
+        "0L",
         {"_id": "doc_id"},
         ["text", "lang", "source", "n_chars"],
     )
@@ -144,7 +144,7 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "pages"),
         "pages",
         "page_id",
-        F.lit(0).cast("bigint"),
+        "0L",
         {"_id": "page_id"},
         ["url", "html"],
     )

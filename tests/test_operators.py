@@ -52,6 +52,7 @@ def test_lookup_gives_updates_the_current_document(spark):
 @pytest.fixture
 def small_shuffle_conf(spark):
     changed = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
