@@ -47,6 +47,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--log-type", default="")
     parser.add_argument("--document-key", default="")
     parser.add_argument("--time-key")
+    parser.add_argument("--writer", choices=[sinks.FILES, sinks.STDOUT], default=sinks.FILES)
     parser.add_argument("--max-megabytes", type=int)
     parser.add_argument("--expire-days", type=int, help="keep this many days")
     parser.add_argument("--expire-backups", type=int, help="keep this many newest days")
@@ -108,6 +109,7 @@ def configure(spark: SparkSession, options: argparse.Namespace) -> relay.Relay:
             document_key=options.document_key,
             time_key=options.time_key,
             max_megabytes=options.max_megabytes,
+            writer=options.writer,
         ),
         mode=options.mode,
         ordering_by=options.ordering_by,

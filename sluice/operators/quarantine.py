@@ -20,11 +20,13 @@ NOT_AN_OBJECT = "payload is not an object"
 NO_ORDERING_KEY = "ordering key is absent"
 
 
-def _any_payload(test) -> Column:
-    result = F.lit(False)
-    for name in PAYLOAD_FIELDS:
-        result = result | test(F.col(name))
-    return result
+def _any_payload(test: str) -> str:
+    return " OR ".join(f"({test.format(p=name)})" for name in PAYLOAD_FIELDS)
+
+
+def _first_match(rules: list[tuple[str, str]]) -> Column:
+    cases = " ".join(f"WHEN {test} THEN '{reason}'" for test, reason in rules)
+    return F.expr(f"CASE {cases} END")
 
 
 def header_reason(ordering_by: str | None = None) -> Column:
@@ -38,8 +40,7 @@ def header_reason(ordering_by: str | None = None) -> Column:
     ]
     if ordering_by:
         rules.append(("ordering_key IS NULL", NO_ORDERING_KEY))
-    cases = " ".join(f"WHEN {test} THEN '{reason}'" for test, reason in rules)
-    return F.expr(f"CASE {cases} END")
+    return _first_match(rules)
 
 
 def payload_reason(objects_only: bool = False) -> Column:
@@ -49,12 +50,12 @@ def payload_reason(objects_only: bool = False) -> Column:
     payload fields: each must be an object or null.
     """
     # A number too large for a double parses as infinity and would be written as text.
-    infinite = _any_payload(lambda p: p.contains('Infinity"'))
-    found = F.when(infinite & ~F.col("raw").contains('Infinity"'), OUT_OF_RANGE)
+    infinite = _any_payload("contains({p}, 'Infinity\"')")
+    rules = [(f"({infinite}) AND NOT contains(raw, 'Infinity\"')", OUT_OF_RANGE)]
     if objects_only:
-        is_object = lambda p: p.startswith("{") | (p == "null")
-        found = found.when(_any_payload(lambda p: ~is_object(p)), NOT_AN_OBJECT)
-    return found
+        no_object = _any_payload("NOT startswith({p}, '{{') AND {p} <> 'null'")
+        rules.append((no_object, NOT_AN_OBJECT))
+    return _first_match(rules)
 
 
 def label(

@@ -33,7 +33,7 @@ AS_OF = 1705708800  # 2024-01-20 00:00:00 UTC
 RETENTION_AS_OF = dt.date(2024, 1, 30)
 RETENTION_DAYS = 10
 SAVE_INTERVAL = 6 * 3600
-ARRIVALS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00"]
+ARRIVALS = ["2024-01-16 00:00:00"]
 ZONE = "Asia/Tokyo"
 ROUTES = [
     routing.Route("app", "users_0", WAREHOUSE, "users_zero"),

@@ -6,11 +6,12 @@ connector on the classpath only the ``write`` of a sink changes.
 Every table is partitioned by target, UTC day, run and batch, and a write replaces
 exactly the partitions of its own run and batch. Writing a batch again after a
 failure therefore leaves one copy, and a new run (a new checkpoint, whose batch
-numbers begin at 0 again) never overwrites an older one.
+numbers begin at 0 again) never overwrites an older one. A target that does not exist
+begins with its first write; it is not looked for per event.
 """
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,10 @@ from sluice.schema import BATCH_COLUMNS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
 
 MEGABYTE = 1024 * 1024
 
+# Writers of the file destination.
+FILES = "file"
+STDOUT = "stdout"
+
 
 @dataclass(frozen=True)
 class SinkOptions:
@@ -40,6 +45,11 @@ class SinkOptions:
     document_key: str = shapes.DEFAULT_DOCUMENT_KEY
     time_key: str | None = None
     max_megabytes: int | None = None
+    writer: str = FILES
+
+    def __post_init__(self):
+        if self.writer not in (FILES, STDOUT):
+            raise ValueError(f"unknown writer {self.writer!r}")
 
     def path(self, destination: str) -> str:
         return f"{self.root}/{destination}"
@@ -121,7 +131,18 @@ def _write_table(destination: str, target: str):
     return write
 
 
+def _print_lines(rows: Iterable) -> None:
+    for row in rows:
+        sys.stdout.write(row["value"] + "\n")
+    sys.stdout.flush()
+
+
 def _write_lines(rows: DataFrame, options: SinkOptions, run_id: str, batch_id: int) -> None:
+    if options.writer == STDOUT:
+        # Tasks print their own rows, for an agent that collects the output of the
+        # executors. A repeated batch prints again: what was printed stays printed.
+        rows.select("value").foreachPartition(_print_lines)
+        return
     limits = {}
     if options.max_megabytes:
         # Files roll by rows; the mean line length turns the size limit into rows.
@@ -154,18 +175,3 @@ SINKS = {
     KEYED_STREAM: Sink(shape_keyed_stream, _write_table(KEYED_STREAM, "stream")),
     FILE: Sink(shape_file, _write_lines),
 }
-
-
-def write_stdout(events: DataFrame, options: SinkOptions) -> None:
-    """Print the lines of the file destination where the tasks run.
-
-    Executors print their own rows, for an agent that collects container output;
-    nothing passes through the driver.
-    """
-
-    def print_lines(rows) -> None:
-        for row in rows:
-            sys.stdout.write(row["value"] + "\n")
-        sys.stdout.flush()
-
-    shape_file(events, options).select("value").foreachPartition(print_lines)

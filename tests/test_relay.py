@@ -272,8 +272,18 @@ def test_remembered_start_does_not_move(spark, tmp_path):
     assert sorted(kept.collect()) == sorted(first.collect())
 
 
-def test_stdout(spark, tmp_path, capfd):
-    sinks.write_stdout(encoded(spark, batch(0, 3)), options(tmp_path))
+def test_stdout(spark, tmp_path, capsys):
+    """Lines are printed by the tasks; no table is written."""
+    configured = relay.Relay([FILE], options(tmp_path, writer="stdout"))
+    relay.relay_batch(configured, lines(spark, batch(0, 3)), "once", 0)
+    assert not (tmp_path / "out" / FILE).exists()
+    assert ledger.read(spark, configured.ledger_path).count() == 3
+    shaped = sinks.shape_file(encoded(spark, batch(0, 3)), configured.options)
+    sinks._print_lines(iter(shaped.collect()))
+    printed = capsys.readouterr().out.splitlines()
+    assert [json.loads(line)["cs"]["_id"]["_data"] for line in printed] == names(batch(0, 3))
+    with pytest.raises(ValueError, match="writer"):
+        options(tmp_path, writer="screen")
 
 
 def test_wrong_settings(tmp_path):
