@@ -9,8 +9,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -105,10 +105,15 @@ def by_day(labelled: DataFrame) -> DataFrame:
     return days.hint("rebalance", "cluster_date").drop("cluster_date")
 
 
-def _together(tasks: list[Callable[[], None]]) -> None:
-    """Run all tasks at the same time, wait for all, then raise the first failure."""
+def _together(spark: SparkSession, tasks: list[Callable[[], None]]) -> None:
+    """Run all tasks at the same time, wait for all, then raise the first failure.
+
+    The threads carry the job group and scheduler pool of the caller, so stopping the
+    stream also cancels what they run.
+    """
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
-        running = [pool.submit(task) for task in tasks]
+        running = [pool.submit(inherit(task)) for task in tasks]
     for done in running:
         done.result()
 
@@ -134,7 +139,7 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
                     rejected, relay.quarantine_path, run_id, batch_id, []
                 )
             )
-        _together(deliveries)
+        _together(lines.sparkSession, deliveries)
         ledger.save(events, relay.ledger_path, run_id, batch_id, relay.save_interval)
     finally:
         labelled.unpersist()

@@ -129,9 +129,11 @@ def test_failure_moves_no_position_and_replay_leaves_one_copy(spark, tmp_path, l
 
 def test_all_destinations_are_tried_when_one_fails(spark, tmp_path):
     done = []
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", "relay")
 
     def task(name, fails=False):
         def go():
+            assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == "relay"
             done.append(name)
             if fails:
                 raise ConnectionError(name)
@@ -139,8 +141,9 @@ def test_all_destinations_are_tried_when_one_fails(spark, tmp_path):
         return go
 
     with pytest.raises(ConnectionError, match="b"):
-        relay._together([task("a"), task("b", True), task("c"), task("d", True)])
+        relay._together(spark, [task("a"), task("b", True), task("c"), task("d", True)])
     assert sorted(done) == ["a", "b", "c", "d"]
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
 def test_new_run_keeps_the_old_output_and_resumes(spark, tmp_path, log):
