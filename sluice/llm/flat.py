@@ -26,6 +26,9 @@ FOLDED = BYTES.copy()
 FOLDED[65:91] = BYTES[97:123]
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: All ASCII but letters and digits.
+MARKS = np.zeros(256, bool)
+MARKS[:128] = [not chr(c).isalnum() for c in range(128)]
 PLACES = _table(12)
 _powers: dict[str, np.ndarray] = {}
 
@@ -86,9 +89,9 @@ def range_hash(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
     return mix((sums[last] - sums[first]) * powers(len(sums))[1][first])
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, end and row of every word, a word being bytes without ASCII white space."""
-    solid = ~SPACE[data]
+def words(data: np.ndarray, at: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and row of every word, a word being bytes that are not `between` words, ASCII white space at first."""
+    solid = ~between[data]
     starts, ends = solid.copy(), solid.copy()
     starts[1:] &= ~solid[:-1]
     ends[:-1] &= ~solid[1:]
@@ -99,9 +102,9 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return first, last, np.searchsorted(at, first, "right") - 1
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, at: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word with A-Z lower-cased, and its row."""
-    first, last, row = words(data, at)
+    first, last, row = words(data, at, between)
     return range_hash(prefix_hash(data, FOLDED), first, last), row
 
 

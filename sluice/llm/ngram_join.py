@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sluice.llm import common, flat
 
@@ -357,3 +358,16 @@ def ngram_join(documents: DataFrame, width: int = 5, percent: int = 75) -> DataF
     out = rows.join(label, "key", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """The documents without near copies, all columns as they are: of each component the row of its smallest doc_id stays.
+
+    Rows of one doc_id are one document, of which the first by a hash of its text stays. Rows without doc_id all stay.
+    """
+    named = ngram_join(documents.select("doc_id", "text"), width, percent)
+    ids = named.where("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "kept_id")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    rows = documents.join(ids, documents["doc_id"] == ids["kept_id"]).withColumn("kept_rank", F.row_number().over(order))
+    rows = rows.where("kept_rank = 1").select(*documents.columns)
+    return rows.unionByName(documents.where("doc_id is null"))
