@@ -27,7 +27,7 @@ from sluice.llm import common, flat
 
 STARS = 6
 #: Postings that a task gathers before it sends them, members of one block of a large bucket, bytes of input a block.
-POSTINGS, MEMBERS, BLOCK_BYTES = 3_000_000, 4096, 16 << 20
+POSTINGS, MEMBERS, BLOCK_BYTES = 1_500_000, 4096, 8 << 20
 
 INCIDENCE = pa.schema(
     [("kind", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()),
@@ -74,7 +74,8 @@ def incidence(width: int, blocks: int):
         keys, one = np.unique(keys, return_index=True)
         sizes, begin = sizes[one], begin[one]
         grams = grams[concat_ranges(begin, sizes)]
-        owner = np.repeat(np.arange(len(keys), dtype=np.int64), sizes)
+        held.clear()
+        owner = np.repeat(np.arange(len(keys), dtype=np.int32), sizes)
         order = np.argsort(grams, kind="stable")
         grams, owner = grams[order], owner[order]
         starts = first_of_each(grams)
@@ -134,8 +135,10 @@ def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def counted() -> Iterator[pa.RecordBatch]:
         if held:
             gram, key = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             order = np.lexsort((key, gram))
             gram, key = gram[order], key[order]
+            del order
             fresh = np.ones(len(gram), bool)
             fresh[1:] = (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])
             gram, key = gram[fresh], key[fresh]
