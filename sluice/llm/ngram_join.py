@@ -8,7 +8,9 @@ Texts with the same set of n-grams are one class, so copies cost nothing further
 2. Pairs of the classes that are left. Stars around the smallest class of a min-hash bucket connect most copies
    cheaply. Then every n-gram among the first n - ceil(t * n) + 1 of a class (in hash order; two similar sets share one of
    these) is a block of rows; pairs of a block that are not yet connected are held against the size bound of
-   their symmetric difference, with a parity sketch that never overstates it, and the rest are counted exactly.
+   their symmetric difference, with a parity sketch that never overstates it, and the rest are counted exactly. Some rounds
+   draw only trees over the parts of a block, so a group of near copies is connected without its pairs; the last
+   round takes every pair that is left.
 
 Links inside what is already connected are not listed, since they change no component; no other link is lost.
 """
@@ -25,7 +27,9 @@ from pyspark.sql.window import Window
 
 from sluice.llm import common, flat
 
-STARS = 6
+STARS, TREES = 6, 3
+#: Cells of a sketch for each n-gram, where trees are drawn and where all pairs are judged.
+CELLS = (2, 8)
 #: Postings that a task gathers before it sends them, members of one block of a large bucket, bytes of input a block.
 POSTINGS, MEMBERS, BLOCK_BYTES = 1_500_000, 4096, 8 << 20
 
@@ -219,29 +223,39 @@ def prefix_rows(percent: int):
 SKETCHES = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
 
 
-def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parities of the counts of n-grams in a power of two of cells, two to four for each n-gram."""
-    for batch in batches:
-        out = []
-        for raw in batch.column("grams"):
-            grams = np.frombuffer(raw.as_buffer(), np.uint64)
-            cells = max(64, 1 << int(2 * len(grams) - 1).bit_length())
-            odd = np.bincount(((grams >> np.uint64(13)) % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
-            out.append(np.packbits(odd.astype(bool), bitorder="little").tobytes())
-        yield common.record(SKETCHES, key=batch.column("key"), n=batch.column("n"), sketch=out)
+def sketches(each: int):
+    """Parities of the counts of n-grams in a power of two of cells, `each` to twice as many for every n-gram."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for raw in batch.column("grams"):
+                grams = np.frombuffer(raw.as_buffer(), np.uint64)
+                cells = max(64, 1 << int(each * len(grams) - 1).bit_length())
+                odd = np.bincount(((grams >> np.uint64(13)) % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+                out.append(np.packbits(odd.astype(bool), bitorder="little").tobytes())
+            yield common.record(SKETCHES, key=batch.column("key"), n=batch.column("n"), sketch=out)
+
+    return work
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def block_pairs(percent: int):
-    """Pairs of one (n-gram, block pair) that are not connected and whose sketches allow the similarity."""
+def block_pairs(percent: int, tree: bool):
+    """Pairs of one (n-gram, block pair) that are not connected and whose sketches allow the similarity.
+
+    With `tree`, only the likeliest pair that would connect two parts is given, as if each pair held: a tree over the parts
+    instead of all their pairs, and no more than one for all blocks of a task.
+    """
 
     def folded(sketch: np.ndarray, words: int) -> np.ndarray:
         return np.bitwise_xor.reduce(sketch.reshape(len(sketch), -1, words), axis=1)
 
-    def within(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def within(rows: list[tuple], part: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         key, root, n, side = (np.array([r[k] for r in rows]) for k in (0, 1, 2, 4))
+        if tree:
+            root = np.array([part.get(r, r) for r in root.tolist()])
         words = np.array([len(r[3]) // 8 for r in rows])
         for size in np.unique(words):
             mine = np.flatnonzero(words == size)
@@ -258,23 +272,34 @@ def block_pairs(percent: int):
                     continue
                 least = np.bitwise_count(left[at : at + step, None] ^ right[None]).sum(-1, dtype=np.int64)
                 both = n[i][:, None] + n[other][None]
-                x, y = np.nonzero(apart & (least * (100 + percent) <= both * (100 - percent)))
-                if len(x):
+                allowed = apart & (least * (100 + percent) <= both * (100 - percent))
+                if not tree:
+                    x, y = np.nonzero(allowed)
                     yield key[i][x], key[other][y]
+                    continue
+                for x in np.flatnonzero(allowed.any(1)):
+                    y = np.flatnonzero(allowed[x] & (root[other] != root[i[x]]))
+                    if len(y):
+                        y = y[np.argsort(least[x, y], kind="stable")]
+                        parts, first = np.unique(root[other[y]], return_index=True)
+                        yield np.full(len(first), key[i[x]]), key[other[y[first]]]
+                        root[np.isin(root, parts)] = root[i[x]]
+        if tree:
+            part.update(zip((r[1] for r in rows), root.tolist(), strict=True))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        now, seen = None, set()
+        now, part = None, {}
 
         def done() -> Iterator[pa.RecordBatch]:
+            nonlocal part
             if len(held) > 1:
-                for a, b in within(held):
-                    fresh = [p for p in set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)) if p not in seen]
-                    if len(seen) < 200_000:
-                        seen.update(fresh)
-                    if fresh:
-                        yield common.record(PAIRS, a=[p[0] for p in fresh], b=[p[1] for p in fresh])
+                for a, b in within(held, part):
+                    if len(a):
+                        yield common.record(PAIRS, a=np.minimum(a, b), b=np.maximum(a, b))
             held.clear()
+            # Only a memory of what was given before; to forget it costs repeats.
+            part = part if len(part) < 500_000 else {}
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("mark", "low", "high", "key", "root", "n", "sketch", "side")]
@@ -310,7 +335,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInArrow(exact_links(percent), "a bigint, b bigint")
 
 
-def candidates_of(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def candidates_of(sets: DataFrame, roots: DataFrame, percent: int, tree: bool) -> DataFrame:
     """Pairs not yet connected that share an n-gram of their prefixes and pass the bound of the sketches."""
     root = F.coalesce("root", "key")
     known = roots.withColumnRenamed("id", "key")
@@ -320,9 +345,9 @@ def candidates_of(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     own = F.pmod(F.xxhash64("key"), F.col("blocks"))
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     rows = rows.select("mark", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root", (F.col("own") > F.col("other")).cast("int").alias("side"))
-    drawn = sets.mapInArrow(sketches, "key bigint, n bigint, sketch binary")
+    drawn = sets.mapInArrow(sketches(CELLS[0] if tree else CELLS[1]), "key bigint, n bigint, sketch binary")
     rows = rows.join(drawn, "key").repartition("mark", "low", "high").sortWithinPartitions("mark", "low", "high")
-    return rows.mapInArrow(block_pairs(percent), "a bigint, b bigint").distinct()
+    return rows.mapInArrow(block_pairs(percent, tree), "a bigint, b bigint").distinct()
 
 
 def ngram_join(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -351,9 +376,11 @@ def ngram_join(documents: DataFrame, width: int = 5, percent: int = 75) -> DataF
     stars = marks.join(pivots, "mark").where("a <> key").select("a", F.col("key").alias("b")).distinct()
     links = common.keep(verified(stars, sets, percent), "ngram-links")
     roots = common.components(links, "ngram-stars")
-    more = verified(candidates_of(sets, roots, percent), sets, percent)
-    edges = common.keep(more, "ngram-more").union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))
-    roots = common.components(edges, "ngram-roots")
+    # Trees connect what is left of large groups; then every pair that is still apart and may be similar is counted.
+    for tree in [True] * TREES + [False]:
+        more = common.keep(verified(candidates_of(sets, roots, percent, tree), sets, percent), "ngram-more")
+        edges = more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))
+        roots = common.keep(common.components(edges, "ngram-roots"), "ngram-parts")
 
     named = classes.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     label = named.groupBy("root").agg(F.min("least").alias("component_id"))
