@@ -2,7 +2,7 @@
 
 Every window of `length` bytes names a short gram inside it by content alone, so equal windows name equal grams at
 equal places. Windows of one gram in a row are a passage. Passages whose gram stands nowhere else cannot repeat; of the
-others, equal ones become one with a count. The passages of a gram meet in one index (a gram in very many
+others, equal ones become one with a count. The different passages of a gram meet in one index (a gram in very many
 different passages is cut into finer groups first, by the bytes that all windows of a band of offsets have in common). The
 index sorts their suffixes, keeps samples at the run ends of the transform, and streams matching statistics, which say
 of each window whether it stands elsewhere. Marked windows return to their documents, where their bytes go.
@@ -26,10 +26,10 @@ INDEX_BYTES, FORMS, BAND = 1 << 18, 8192, 16
 ASK, WITNESS, KNOWN = 0, 1, 2
 
 FOUND = pa.schema(
-    [("kind", pa.int32()), ("deal", pa.int64()), ("rid", pa.int64()), ("did", pa.int64()), ("first", pa.int64()),
+    [("kind", pa.int32()), ("deal", pa.int64()), ("rid", pa.int32()), ("did", pa.int64()), ("first", pa.int64()),
      ("size", pa.int32()), ("gram", pa.int64()), ("body", pa.int64())]
 )
-FOUND_DDL = "kind int, deal bigint, rid bigint, did bigint, first bigint, size int, gram bigint, body bigint"
+FOUND_DDL = "kind int, deal bigint, rid int, did bigint, first bigint, size int, gram bigint, body bigint"
 
 
 def named_passages(length: int):
@@ -52,13 +52,13 @@ def named_passages(length: int):
             known = count[group] > 1
             witness = one[count > 1]
             gram, body = gram.view(np.int64), body.view(np.int64)
-            spread = flat.mix((rid[row] + first).astype(np.uint64)).view(np.int64)
+            spread = flat.mix((did[row] + first).astype(np.uint64)).view(np.int64)
             yield common.record(
                 FOUND, kind=np.where(known, KNOWN, ASK).astype(np.int32), deal=np.where(known, spread, gram), rid=rid[row], did=did[row],
                 first=first - at[row], size=size.astype(np.int32), gram=gram, body=body,
             )
             zero = np.zeros(len(witness), np.int64)
-            yield common.record(FOUND, kind=np.full(len(witness), WITNESS, np.int32), deal=gram[witness], rid=zero, did=zero, first=zero, size=zero.astype(np.int32), gram=gram[witness], body=zero)
+            yield common.record(FOUND, kind=np.full(len(witness), WITNESS, np.int32), deal=gram[witness], rid=zero.astype(np.int32), did=zero, first=zero, size=zero.astype(np.int32), gram=gram[witness], body=zero)
 
     return work
 
@@ -208,27 +208,33 @@ def suffix_dedup(documents: DataFrame, length: int = 200, with_bytes: bool = Fal
     another row. A null or empty text has no bytes; a text shorter than `length` loses nothing. Repeated rows are documents
     of their own, so each repeats the other. A row may have no doc_id. An empty table gives an empty result.
     """
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    doc_id, text = F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # A row is named by its id (or a hash of its text) and a hash of its text, whose last bit says that it has no id.
+    no_id = doc_id.isNull().cast("int")
+    docs = documents.select(F.coalesce(doc_id, F.xxhash64(text)).alias("did"), F.hash(text).bitwiseAND(-2).bitwiseOR(no_id).alias("rid"), text.alias("text"))
     pieces = common.parts(docs, TASK_BYTES)
-    docs = docs.withColumn("rid", F.xxhash64("doc_id", "text")).withColumn("did", F.coalesce("doc_id", F.lit(-1)))
-    found = docs.select("rid", "did", "text").mapInArrow(named_passages(length), FOUND_DDL)
+    found = docs.mapInArrow(named_passages(length), FOUND_DDL)
     found = found.repartition(pieces, "deal").sortWithinPartitions("deal", "kind").mapInArrow(settled, FOUND_DDL)
     found = common.keep(found.select("rid", "did", "first", "size", "gram", "body"), "repeat-passages")
 
     one = [F.first(c).alias(c) for c in ("rid", "did", "first", "size")]
     forms = found.groupBy("gram", "body").agg(F.count("*").alias("times"), *one)
     forms = common.keep(forms, "repeat-forms")
-    fine = forms.groupBy("gram").agg(F.count("*").alias("forms")).where(F.col("forms") > FORMS).select("gram", F.lit(True).alias("fine"))
-    picks = forms.join(fine, "gram", "left").withColumn("fine", F.coalesce("fine", F.lit(False)))
+    counted = forms.join(forms.groupBy("gram").agg(F.count("*").alias("forms")), "gram")
+    # Equal passages are one with a count; where a gram has no other passage, there is nothing to index.
+    alone = counted.where("forms = 1").select("gram", "body", F.lit(0).alias("start"), F.col("size").alias("stop"))
+    picks = counted.where("forms > 1").withColumn("fine", F.col("forms") > FORMS)
     picks = picks.groupBy("rid", "did").agg(F.collect_list(F.struct("gram", "body", "times", "first", "size", "fine")).alias("picks"))
     dealt = docs.repartition(pieces, "rid", "did")
-    bodies = dealt.dropDuplicates(["rid", "did"]).join(picks, ["rid", "did"]).select("text", "picks").mapInArrow(passages_of(length), BODIES_DDL)
+    bodies = dealt.join(picks, ["rid", "did"]).select("text", "picks").mapInArrow(passages_of(length), BODIES_DDL)
     bodies = bodies.repartition(pieces, "deal").sortWithinPartitions("deal")
-    marks = bodies.mapInArrow(marked(length), "gram bigint, body bigint, start int, stop int")
+    marks = bodies.mapInArrow(marked(length), "gram bigint, body bigint, start int, stop int").union(alone)
 
     spans = found.join(marks, ["gram", "body"])
     packed = F.shiftleft(F.col("first") + F.col("start"), 20).bitwiseOR((F.col("stop") - F.col("start")).cast("bigint"))
     spans = spans.select("rid", "did", packed.alias("span")).groupBy("rid", "did").agg(F.collect_list("span").alias("spans"))
-    out = dealt.join(spans, ["rid", "did"], "left").select("doc_id", "text", "spans")
+    # The same exchange of the texts as above.
+    own = F.when(F.col("rid").bitwiseAND(1) == 0, F.col("did"))
+    out = dealt.join(spans, ["rid", "did"], "left").select(own.alias("doc_id"), "text", "spans")
     ddl = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_bytes else "")
     return out.mapInArrow(cut(length, with_bytes), ddl)
