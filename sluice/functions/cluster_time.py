@@ -7,10 +7,10 @@ session time zone; the zone is an explicit argument.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Seconds fit 32 unsigned bits. Ordinals are kept below 2^31 so that the packed
-# sequence stays inside a signed 64-bit integer for every possible second.
+# Seconds and ordinals are 32 unsigned bits each.
 MAX_SECONDS = 2**32 - 1
-MAX_ORDINAL = 2**31 - 1
+MAX_ORDINAL = 2**32 - 1
+_MIDDLE = 2**31
 
 
 def as_timestamp(seconds: Column) -> Column:
@@ -23,11 +23,17 @@ def as_date(seconds: Column) -> Column:
 
 
 def sequence(seconds: Column, ordinal: Column) -> Column:
-    """(T, I) packed into one bigint with the same order.
+    """(T, I) packed into one bigint with the same order, over the whole range of both.
 
     It needs no shuffle, and it has the same value in every batch and replay.
     """
-    return seconds * F.lit(MAX_ORDINAL + 1) + ordinal
+    return (seconds - F.lit(_MIDDLE)) * F.lit(MAX_ORDINAL + 1) + ordinal
+
+
+def unpacked(packed: int) -> tuple[int, int]:
+    """(T, I) of a packed sequence."""
+    seconds, ordinal = divmod(packed, MAX_ORDINAL + 1)
+    return seconds + _MIDDLE, ordinal
 
 
 def _wall_clock(seconds: Column, zone: str) -> Column:

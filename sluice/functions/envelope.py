@@ -1,6 +1,6 @@
 """Typed access to a change event held in a variant.
 
-All functions read the column ``line``, a one-element variant array with the event,
+All functions read the column ``line``, a variant array that begins with the event,
 as the source parses it. Paths lead through the element, so the event itself is
 never copied out.
 """
@@ -13,7 +13,10 @@ from sluice.functions.cluster_time import MAX_ORDINAL, MAX_SECONDS
 
 def is_single() -> Column:
     """Whether the line holds exactly one JSON value."""
-    return F.expr("line IS NOT NULL AND try_variant_get(line, '$[1]', 'variant') IS NULL")
+    return F.expr(
+        "line IS NOT NULL AND coalesce(try_variant_get(line, '$[1]', 'bigint') = xxhash64(raw), false)"
+        " AND try_variant_get(line, '$[2]', 'variant') IS NULL"
+    )
 
 
 def field(name: str) -> Column:

@@ -43,7 +43,7 @@ def header_reason(ordering_by: str | None = None) -> Column:
     return _first_match(rules)
 
 
-def payload_reason(objects_only: bool = False) -> Column:
+def payload_reason(objects_only: bool | Column = False) -> Column:
     """Why the payloads cannot be written as JSON, or NULL.
 
     ``objects_only`` adds the rule of the file destination, whose document has typed
@@ -52,9 +52,10 @@ def payload_reason(objects_only: bool = False) -> Column:
     # A number too large for a double parses as infinity and would be written as text.
     infinite = _any_payload("contains({p}, 'Infinity\"')")
     rules = [(f"({infinite}) AND NOT contains(raw, 'Infinity\"')", OUT_OF_RANGE)]
-    if objects_only:
+    if objects_only is not False:
         no_object = _any_payload("NOT startswith({p}, '{{') AND {p} <> 'null'")
-        rules.append((no_object, NOT_AN_OBJECT))
+        whole = _first_match([*rules, (no_object, NOT_AN_OBJECT)])
+        return whole if objects_only is True else F.when(objects_only, whole).otherwise(_first_match(rules))
     return _first_match(rules)
 
 
@@ -62,7 +63,7 @@ def label(
     decoded: DataFrame,
     ordering_by: str | None = None,
     payloads: bool = False,
-    objects_only: bool = False,
+    objects_only: bool | Column = False,
 ) -> DataFrame:
     """Add ``reason``; the raw line is kept only where it is needed, on invalid rows.
 

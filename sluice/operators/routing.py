@@ -4,14 +4,9 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.schema import DESTINATIONS, TOPIC, WAREHOUSE
 
-# A routing table is configuration held by the driver. Its size is known before the
-# join, and beyond this many rows it is left to Spark how to join it.
-BROADCAST_ROUTES = 100_000
-
 
 class Route(NamedTuple):
     db: str
@@ -28,7 +23,7 @@ def parse_destinations(listed: str, project: str | None = None) -> list[str]:
     names = list(dict.fromkeys(part.strip() for part in listed.split(",")))
     for name in names:
         if name not in DESTINATIONS:
-            raise ValueError(f"the export destination is wrong: {name!r}")
+            raise ValueError(f"no such destination: {name!r}, only {sorted(DESTINATIONS)}")
     if project is None and {WAREHOUSE, TOPIC} & set(names):
         raise ValueError(f"{WAREHOUSE} and {TOPIC} need a project")
     return names
@@ -38,7 +33,7 @@ def check_routes(routes: Iterable[Route]) -> list[Route]:
     checked = [Route(*r) for r in routes]
     for r in checked:
         if r.destination not in DESTINATIONS:
-            raise ValueError(f"the export destination is wrong: {r.destination!r}")
+            raise ValueError(f"no such destination: {r.destination!r}, only {sorted(DESTINATIONS)}")
     if len(set(checked)) != len(checked):
         raise ValueError("a route is listed twice")
     return checked
@@ -54,6 +49,5 @@ def route(spark: SparkSession, events: DataFrame, routes: Iterable[Route]) -> Da
     table = spark.createDataFrame(
         checked, "db string, coll string, destination string, target string"
     )
-    if len(checked) <= BROADCAST_ROUTES:
-        table = F.broadcast(table)
+    # Its size is known to Spark, which chooses the join.
     return events.join(table, ["db", "coll"])

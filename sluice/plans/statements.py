@@ -25,7 +25,7 @@ changes AS (
            '{"removedFields":[],"updatedFields":{"value":' || num || '}}' END AS upd,
          make_timestamp(t * 1000000) AS event_time,
          strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S') AS time_text,
-         t * 2147483648 + i AS seq
+         (t - 2147483648) * 4294967296 + i AS seq
   FROM raw
 ),
 c AS (SELECT *, '{"_data":"' || token || '"}' AS id FROM changes)

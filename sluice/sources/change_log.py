@@ -28,17 +28,22 @@ def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
     how a long backlog is worked off in pieces that fit the cluster. Any other stream
     with a string column ``value`` can take the place of this one.
     """
+    # Spark skips files much older than the newest one it has seen, a week by default;
+    # a change log may not lose any.
+    options = {"maxFileAge": "36500d"} | options
     return spark.readStream.format("text").options(**options).load(path)
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """``value`` lines -> ``raw`` and ``line``, a variant array that holds the event.
 
-    The line is parsed as the only element of an array: the parser stops after the
-    first complete value, so a line with two glued events would otherwise pass as
-    its first one. ``line`` is NULL for text that is no JSON.
+    The line is parsed as the first element of an array whose second is a hash of the
+    line: the parser stops after the first complete value, so glued events, or text
+    after a closing bracket, would otherwise pass as their first value. ``line`` is NULL
+    for text that is no JSON.
     """
-    whole = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    seal = F.xxhash64("value").cast("string")
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit(","), seal, F.lit("]")))
     return lines.select(F.col("value").alias("raw"), whole.alias("line"))
 
 
@@ -55,7 +60,7 @@ def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
     Payload columns are left out of it, so unused ones are pruned.
     """
     header = {
-        "parsed": envelope.is_single() & F.rtrim("raw").endswith("}"),
+        "parsed": envelope.is_single() & F.expr(r"btrim(raw, ' \t\r\n')").endswith("}"),
         "token": envelope.token(),
         "operationType": envelope.operation(),
         "T": envelope.seconds(),
@@ -157,7 +162,7 @@ def head_position(events: DataFrame) -> tuple[int, int] | None:
     ).first()["head"]
     if newest is None:
         return None
-    return divmod(newest, cluster_time.MAX_ORDINAL + 1)
+    return cluster_time.unpacked(newest)
 
 
 def start_from(events: DataFrame, start: str, present: DataFrame | None = None) -> DataFrame:

@@ -69,7 +69,9 @@ def event_lines(
     if since is not None:
         rows = rows.where(f"ts >= TIMESTAMP_NTZ '{since}'")
     if before is not None:
-        rows = rows.where(f"ts < TIMESTAMP_NTZ '{before}'")
+        # A row without a time belongs to the first part.
+        undated = " OR ts IS NULL" if since is None else ""
+        rows = rows.where(f"ts < TIMESTAMP_NTZ '{before}'{undated}")
     cases = " ".join(
         f"WHEN '{event_type}' THEN '{operation}'"
         for event_type, operation in OPERATION_OF_EVENT_TYPE.items()

@@ -63,10 +63,16 @@ def save(
     spark = events.sparkSession
     earlier = None
     if batch_id > 0:
-        # Batches of a run are consecutive; a missing state is an error, not a start.
-        earlier = spark.read.schema(POSITION).parquet(
-            _state_path(path, run_id, batch_id - 1)
-        )
+        # Batches of a run are consecutive. A state is missing where throttling was switched
+        # on later; the ledger of the batches before then has the last saves.
+        place = _state_path(path, run_id, batch_id - 1)
+        if exists(spark, place):
+            earlier = spark.read.schema(POSITION).parquet(place)
+        else:
+            saved = read(spark, path)
+            if saved is not None:
+                before = (F.col("run_id") != run_id) | (F.col("batch_id") < batch_id)
+                earlier = audit.last_position(saved.where(before)).select(*POSITION.names)
     append(throttle.throttled_positions(events, interval, earlier), path, run_id, batch_id)
     state = read(spark, path)
     if state is not None:
@@ -98,9 +104,13 @@ def remember_start(
 
 
 def resume_each(events: DataFrame, positions: DataFrame) -> DataFrame:
-    """Events after the last saved position of their collection; others pass whole."""
+    """Events after the last saved position of their collection; others pass whole.
+
+    Events without a readable cluster time have no place in the order: they pass, to be
+    quarantined.
+    """
     order = cluster_time.sequence(F.col("T"), F.col("I"))
     saved = positions.groupBy("db", "coll").agg(F.max(order).alias("saved_position"))
     joined = events.join(saved, ["db", "coll"], "left")
-    later = F.col("saved_position").isNull() | (order > F.col("saved_position"))
+    later = F.col("saved_position").isNull() | order.isNull() | (order > F.col("saved_position"))
     return joined.where(later).select(*events.columns)

@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,7 +54,9 @@ class Relay:
             raise ValueError(f"unknown mode {self.mode!r}")
         routing.parse_destinations(",".join(self.destinations), project="checked before")
         if self.routes is not None:
-            routing.check_routes(self.routes)
+            for r in routing.check_routes(self.routes):
+                if r.destination not in self.destinations:
+                    raise ValueError(f"a route leads to {r.destination!r}, which is no destination of this relay")
 
     @property
     def ledger_path(self) -> str:
@@ -76,7 +78,7 @@ def prepare(relay: Relay, lines: DataFrame) -> DataFrame:
         decoded,
         relay.ordering_by,
         payloads=True,
-        objects_only=FILE in relay.destinations,
+        objects_only=_to_file(relay),
     )
     if relay.namespace is not None:
         # Rows without a readable namespace belong to no collection: they stay, and
@@ -93,6 +95,22 @@ def prepare(relay: Relay, lines: DataFrame) -> DataFrame:
     return labelled
 
 
+def _to_file(relay: Relay) -> Column | bool:
+    """Which events the file destination gets; only its documents must hold objects."""
+    if FILE not in relay.destinations or relay.routes is None:
+        return FILE in relay.destinations
+    names = [f"{r.db}\0{r.coll}" for r in map(routing.Route._make, relay.routes) if r.destination == FILE]
+    return F.concat_ws("\0", "db", "coll").isin(names)
+
+
+def _delivered(relay: Relay, events: DataFrame) -> DataFrame:
+    """Events that some destination gets: those without a route are not relayed."""
+    if relay.routes is None:
+        return events
+    names = {f"{r.db}\0{r.coll}" for r in map(routing.Route._make, relay.routes)}
+    return events.where(F.concat_ws("\0", "db", "coll").isin(sorted(names)))
+
+
 def by_day(labelled: DataFrame) -> DataFrame:
     """Bring the rows of a day together, so that few tasks write to its partitions.
 
@@ -129,6 +147,7 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
             events = quarantine.require_valid(labelled)
         else:
             events = quarantine.valid(labelled)
+        events = _delivered(relay, events)
         # The first job reads the source once and fills the cache for all others.
         replace_batch(audit.relay_audit(events), relay.audit_path, run_id, batch_id, [])
         deliveries = _deliveries(relay, events, run_id, batch_id)

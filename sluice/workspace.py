@@ -1,5 +1,6 @@
 """Where intermediate tables, checkpoints and sinks of a job are placed."""
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(SHARED_DIR_KEY, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="sluice-")
 

@@ -136,7 +136,7 @@ def test_destinations():
         routing.parse_destinations("xxx")
     with pytest.raises(ValueError, match="project"):
         routing.parse_destinations("file,pubsub")
-    with pytest.raises(ValueError, match="wrong"):
+    with pytest.raises(ValueError, match="no such destination"):
         routing.parse_destinations("")
 
 
@@ -147,7 +147,7 @@ def test_routes(spark):
     assert sorted(map(tuple, found)) == [("c", WAREHOUSE, "t1", 6), ("c", FILE, "f1", 6)]
     with pytest.raises(ValueError, match="twice"):
         routing.check_routes([routes[0], routes[0]])
-    with pytest.raises(ValueError, match="wrong"):
+    with pytest.raises(ValueError, match="no such destination"):
         routing.check_routes([("app", "c", "xxx", "t")])
 
 

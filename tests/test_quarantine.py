@@ -37,8 +37,8 @@ def test_nan_is_no_json(spark, field):
 def test_header_reasons(spark):
     cases = {
         q.NO_TOKEN: [
-            {**FULL_EVENT, "_id": "00000"},
-            {**FULL_EVENT, "_id": {"x": "00000"}},
+            {**FULL_EVENT, "_id": "82AB01"},
+            {**FULL_EVENT, "_id": {"x": "82AB01"}},
             {**FULL_EVENT, "_id": {"_data": 5}},
             {**FULL_EVENT, "_id": {"_data": {"x": 1}}},
             without(FULL_EVENT, "_id"),
@@ -52,7 +52,7 @@ def test_header_reasons(spark):
             without(FULL_EVENT, "clusterTime", "T"),
             {**FULL_EVENT, "clusterTime": {"T": "1", "I": 0}},
             {**FULL_EVENT, "clusterTime": {"T": -1, "I": 0}},
-            {**FULL_EVENT, "clusterTime": {"T": 1, "I": 2**31}},
+            {**FULL_EVENT, "clusterTime": {"T": 1, "I": 2**32}},
         ],
         q.NO_NAMESPACE: [
             without(FULL_EVENT, "ns"),
@@ -94,7 +94,7 @@ def test_valid_and_quarantined_are_the_input(spark):
 
 def test_strict_mode_fails_even_when_columns_are_pruned(spark):
     good = q.require_valid(labelled(spark, [FULL_EVENT]))
-    assert good.select("token").collect()[0][0] == "00000"
+    assert good.select("token").collect()[0][0] == "82AB01"
     bad = q.require_valid(labelled(spark, [FULL_EVENT, "x"]))
     with pytest.raises(PySparkException, match=q.NOT_JSON):
         bad.select(F.lit(1)).collect()
