@@ -107,8 +107,8 @@ STATEMENTS = {
         grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
         common_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
         links AS (SELECT a, b FROM common_ JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
-        both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-        reach AS (SELECT doc_id AS d, doc_id AS r FROM sizes UNION SELECT reach.d, both.b FROM reach JOIN both ON reach.r = both.a)
+        sides_ AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (SELECT doc_id AS d, doc_id AS r FROM sizes UNION SELECT reach.d, sides_.b FROM reach JOIN sides_ ON reach.r = sides_.a)
         SELECT d AS doc_id, any_value(n)::BIGINT AS n_shingles, min(r) AS component_id FROM reach JOIN sizes ON sizes.doc_id = d GROUP BY d""",
     "op4_nearest": """
         WITH good AS (
