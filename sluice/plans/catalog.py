@@ -18,6 +18,7 @@ from sluice.operators import (
     lookup,
     ordering,
     quarantine,
+    records,
     retention,
     routing,
     throttle,
@@ -197,6 +198,19 @@ def delimited_record_text(spark, sf_dir):
     return events.select(shapes.delimited().alias("value"))
 
 
+def parse_delimited(spark, sf_dir):
+    """The records of all events, read back to their fields."""
+    return records.parse_delimited(delimited_record(spark, sf_dir))
+
+
+def parse_delimited_text(spark, sf_dir):
+    """The records of all conversations and, cut in half, as many that are none."""
+    whole = delimited_record_text(spark, sf_dir)
+    half = F.substring("value", F.lit(1), F.floor(F.length("value") / 2).cast("int"))
+    both = whole.select(F.explode(F.array(F.col("value"), half)).alias("value"))
+    return records.parse_delimited(both)
+
+
 def keyed_record(spark, sf_dir):
     return shapes.keyed_record(_events(spark, sf_dir), F.lit("changes"))
 
@@ -486,6 +500,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warehouse_row_markup": warehouse_row_markup,
     "delimited_record": delimited_record,
     "delimited_record_text": delimited_record_text,
+    "parse_delimited": parse_delimited,
+    "parse_delimited_text": parse_delimited_text,
     "keyed_record": keyed_record,
     "ordering_key": ordering_key,
     "file_document": file_document,

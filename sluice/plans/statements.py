@@ -33,6 +33,11 @@ c AS (SELECT *, '{"_data":"' || token || '"}' AS id FROM changes)
 
 _RECORD = "id || '|' || op || '|' || time_text || '|' || doc || '|' || ns || '|' || doc_key || '|' || upd"
 
+_FIELDS = (
+    'id AS "_id", op AS "operationType", time_text AS "clusterTime", {doc} AS "fullDocument", ns, '
+    'doc_key AS "documentKey", upd AS "updateDescription"'
+)
+
 _DOCUMENT = (
     """'{"_id":' || id || ',"operationType":"' || op || '","clusterTime":"'"""
     """ || replace(time_text, ' ', 'T') || 'Z","ns":' || ns || ',"fullDocument":' || doc"""
@@ -212,6 +217,15 @@ STATEMENTS: dict[str, str] = {
     + "SELECT "
     + _RECORD.replace("doc ||", f"{_markup('doc')} ||", 1)
     + " AS value FROM c",
+    "parse_delimited": _over_changes(
+        f"SELECT {_FIELDS.format(doc='doc')}, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS raw FROM c"
+    ),
+    "parse_delimited_text": _CONVERSATIONS
+    + f"SELECT {_FIELDS.format(doc=_markup('doc'))}, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS raw FROM c"
+    + " UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'not a record of seven fields',"
+    + " substr(value, 1, length(value) // 2) FROM (SELECT "
+    + _RECORD.replace("doc ||", f"{_markup('doc')} ||", 1)
+    + " AS value FROM c)",
     "keyed_record": _over_changes(
         f"SELECT 'changes' AS stream, token AS partition_key, {_RECORD} || chr(10) AS value FROM c"
     ),
