@@ -7,12 +7,14 @@ event, or at the beginning, and remembers that choice.
 """
 
 import argparse
+import dataclasses
 import datetime as dt
 import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -135,17 +137,26 @@ def expire(spark: SparkSession, configured: relay.Relay, options: argparse.Names
             retention.drop_expired(spark, folder, today, options.expire_days, newest)
 
 
-def main(argv: list[str] | None = None) -> None:
-    options = arguments(sys.argv[1:] if argv is None else argv)
-    spark = SparkSession.builder.appName("sluice").getOrCreate()
+def begin(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
+    """Start the relay. Expired days are dropped after every batch, so a stream that never ends keeps its limits."""
     configured = configure(spark, options)
+    configured = dataclasses.replace(
+        configured, after_batch=lambda session: expire(session, configured, options)
+    )
     lines = change_log.stream_lines(
         spark, options.log, maxBytesPerTrigger=options.max_bytes_per_trigger
     )
     trigger = {"processingTime": options.every} if options.every else {"availableNow": True}
     checkpoint = options.checkpoint or f"{options.root}/checkpoint"
-    relay.start(configured, lines, checkpoint, trigger).awaitTermination()
+    # Once before the first batch as well, as a restart may find nothing new for a long time.
     expire(spark, configured, options)
+    return relay.start(configured, lines, checkpoint, trigger)
+
+
+def main(argv: list[str] | None = None) -> None:
+    options = arguments(sys.argv[1:] if argv is None else argv)
+    spark = SparkSession.builder.appName("sluice").getOrCreate()
+    begin(spark, options).awaitTermination()
 
 
 if __name__ == "__main__":

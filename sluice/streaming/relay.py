@@ -34,7 +34,8 @@ class Relay:
     collection are left out. ``snapshot`` is asked in every batch for the current documents that update events
     are given. ``routes`` send each collection to its own targets; without them every collection goes to the one
     target of each destination. ``save_interval`` throttles the position ledger.
-    ``backfill`` is for batches that hold many days: see ``by_day``.
+    ``backfill`` is for batches that hold many days: see ``by_day``. ``after_batch`` is called when a batch is in all
+    destinations and its position is saved, while nothing is being written; it may be called again for a repeated batch.
     """
 
     destinations: list[str]
@@ -48,6 +49,7 @@ class Relay:
     save_interval: int | None = None
     backfill: bool = False
     sinks: dict[str, Sink] | None = None
+    after_batch: Callable[[SparkSession], None] | None = None
 
     def __post_init__(self):
         if self.mode not in (QUARANTINE, STRICT):
@@ -197,6 +199,8 @@ def start(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         relay_batch(relay, batch, run_id, batch_id)
+        if relay.after_batch is not None:
+            relay.after_batch(batch.sparkSession)
 
     return (
         lines.writeStream.foreachBatch(on_batch)

@@ -86,6 +86,30 @@ def test_routes_targets_and_expiry(spark, tmp_path):
     assert ledger.read(spark, str(tmp_path / "out" / "positions")).count() == 2
 
 
+def test_expiry_in_a_stream_that_stays_up(spark, tmp_path):
+    today = int(dt.datetime.now(dt.timezone.utc).timestamp())
+
+    def arrive(name):
+        rows = [event(f"old {name}", today - 10 * 86400), event(f"new {name}", today)]
+        lines(spark, rows).coalesce(1).write.mode("append").text(str(tmp_path / "log"))
+
+    arrive("first")
+    options = job.arguments(
+        ["--log", str(tmp_path / "log"), "--root", str(tmp_path / "out"), "--destinations", "bigquery"]
+        + ["--project", "p", "--start", "earliest", "--every", "1 second", "--expire-days", "5"]
+    )
+    query = job.begin(spark, options)
+    try:
+        query.processAllAvailable()
+        assert tokens(spark, tmp_path, "out") == ["new first"]
+        arrive("second")
+        query.processAllAvailable()
+        assert query.isActive
+        assert tokens(spark, tmp_path, "out") == ["new first", "new second"]
+    finally:
+        query.stop()
+
+
 def test_option_errors(tmp_path):
     with pytest.raises(SystemExit):
         job.arguments(["--log", "l", "--root", "r", "--destinations", "file", "--resume-token", "t"])
