@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sluice.operators import audit, quarantine, retention, routing  # noqa: E402
+from sluice.operators import audit, lookup, quarantine, retention, routing  # noqa: E402
 from sluice.schema import DESTINATIONS, FILE, WAREHOUSE  # noqa: E402
 from sluice.sources import change_log  # noqa: E402
 from sluice.streaming import ledger, relay, sinks  # noqa: E402
@@ -40,6 +40,11 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     )
     parser.add_argument("--mode", choices=[relay.QUARANTINE, relay.STRICT], default=relay.QUARANTINE)
     parser.add_argument("--ordering-by", help="top-level event field")
+    parser.add_argument(
+        "--lookup",
+        metavar="FOLDER",
+        help="table of current documents (db, coll, documentKey, fullDocument) that update events are given",
+    )
     parser.add_argument("--save-interval", type=int, help="seconds")
     parser.add_argument("--target", action="append", default=[], metavar="DESTINATION=NAME")
     parser.add_argument(
@@ -98,6 +103,18 @@ def begin_after(spark: SparkSession, options: argparse.Namespace) -> DataFrame |
     raise LookupError(f"the saved token is not in the log: {token!r}")
 
 
+def require_namespace(spark: SparkSession, options: argparse.Namespace) -> None:
+    """At every start, a watched database or collection without any event in the log is an error."""
+    if options.db:
+        lines = change_log.read_lines(spark, options.log)
+        change_log.in_namespace(change_log.decode(change_log.parse(lines)), options.db, options.coll)
+
+
+def current_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup table as it is now; every batch asks again."""
+    return spark.read.parquet(folder).select(*lookup.KEY, "fullDocument")
+
+
 def configure(spark: SparkSession, options: argparse.Namespace) -> relay.Relay:
     targets = dict(text.split("=", 1) for text in options.target)
     defaults = sinks.SinkOptions(options.root).targets
@@ -119,6 +136,7 @@ def configure(spark: SparkSession, options: argparse.Namespace) -> relay.Relay:
         positions=ledger.remember_start(
             spark, f"{options.root}/start", lambda: begin_after(spark, options)
         ),
+        snapshot=(lambda: current_documents(spark, options.lookup)) if options.lookup else None,
         routes=[_route(text) for text in options.route] or None,
         save_interval=options.save_interval,
         backfill=options.backfill,
@@ -139,6 +157,7 @@ def expire(spark: SparkSession, configured: relay.Relay, options: argparse.Names
 
 def begin(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
     """Start the relay. Expired days are dropped after every batch, so a stream that never ends keeps its limits."""
+    require_namespace(spark, options)
     configured = configure(spark, options)
     configured = dataclasses.replace(
         configured, after_batch=lambda session: expire(session, configured, options)

@@ -16,10 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions import cluster_time
 from sluice.operators import audit, lookup, quarantine, routing
-from sluice.schema import FILE
+from sluice.schema import DESTINATIONS, FILE
 from sluice.sources import change_log
 from sluice.streaming import ledger
-from sluice.streaming.sinks import SINKS, Sink, SinkOptions, replace_batch
+from sluice.streaming.sinks import SINKS, Sink, SinkOptions, batch_folder, remove, replace_batch
 
 QUARANTINE = "quarantine"
 STRICT = "strict"
@@ -138,8 +138,25 @@ def _together(spark: SparkSession, tasks: list[Callable[[], None]]) -> None:
         done.result()
 
 
+def _forget(relay: Relay, spark: SparkSession, run_id: str, batch_id: int) -> None:
+    """Remove what an earlier attempt of this batch wrote.
+
+    With other settings, or with other rows rejected, it may have filled partitions that the
+    new attempt does not. The audit is the first table of an attempt and the last removed, so
+    where there is none the destinations need not be searched.
+    """
+    own = batch_folder(run_id, batch_id)
+    remove(spark, f"{relay.ledger_path}/{own}")
+    remove(spark, f"{relay.quarantine_path}/{own}")
+    if ledger.exists(spark, f"{relay.audit_path}/{own}"):
+        for name in DESTINATIONS:
+            remove(spark, f"{relay.options.path(name)}/*/*/{own}")
+        remove(spark, f"{relay.audit_path}/{own}")
+
+
 def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> None:
     """Relay one batch of lines. The same run and batch can be relayed again."""
+    _forget(relay, lines.sparkSession, run_id, batch_id)
     labelled = prepare(relay, lines)
     if relay.backfill:
         labelled = by_day(labelled)

@@ -4,9 +4,10 @@ Each destination is the exact row the external service would receive. With a
 connector on the classpath only the ``write`` of a sink changes.
 
 Every table is partitioned by target, UTC day, run and batch, and a write replaces
-exactly the partitions of its own run and batch. Writing a batch again after a
-failure therefore leaves one copy, and a new run (a new checkpoint, whose batch
-numbers begin at 0 again) never overwrites an older one. A target that does not exist
+only partitions of its own run and batch. Before a batch is written again, the relay
+removes what an earlier attempt left, so a repeat leaves one copy even with other
+settings, and a new run (a new checkpoint, whose batch numbers begin at 0 again) never
+overwrites an older one. A target that does not exist
 begins with its first write; it is not looked for per event.
 """
 
@@ -14,7 +15,7 @@ import sys
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import cluster_time, shapes
@@ -87,21 +88,40 @@ def replace_batch(
     )
 
 
+def batch_folder(run_id: str, batch_id: int) -> str:
+    return f"run_id={run_id}/batch_id={batch_id}"
+
+
+def remove(spark: SparkSession, pattern: str) -> None:
+    """Remove the folders that a path, or a pattern of paths, names; there may be none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.globStatus(place) or []:
+        system.delete(found.getPath(), True)
+
+
 def shape_warehouse(events: DataFrame, options: SinkOptions) -> DataFrame:
     target = options.target(WAREHOUSE, events).alias("table")
     return events.select(target, _day(), *shapes.warehouse_columns())
 
 
 def shape_topic(events: DataFrame, options: SinkOptions) -> DataFrame:
+    """With an ordering key, rows lie in the order of their key and sequence within a topic and day.
+
+    The layout is by range, so a key that holds most rows spans several files, which follow
+    each other in order.
+    """
+    ordered = "ordering_key" in events.columns
     days = events.withColumn("cluster_date", _day())
-    key = F.col("ordering_key") if "ordering_key" in events.columns else F.lit(None)
-    return days.select(
+    key = F.col("ordering_key") if ordered else F.lit(None)
+    rows = days.select(
         options.target(TOPIC, events).alias("topic"),
         "cluster_date",
         key.cast("string").alias("ordering_key"),
         cluster_time.sequence(F.col("T"), F.col("I")).alias("sequence"),
         shapes.delimited(options.zone).alias("value"),
     )
+    return rows.sort("topic", "cluster_date", "ordering_key", "sequence") if ordered else rows
 
 
 def shape_keyed_stream(events: DataFrame, options: SinkOptions) -> DataFrame:
