@@ -28,8 +28,8 @@ from pyspark.sql.window import Window
 from sluice.llm import common, flat
 
 STARS, TREES = 6, 3
-#: Cells of a sketch for each n-gram, where trees are drawn and where all pairs are judged.
-CELLS = (2, 8)
+#: Cells of a sketch for each n-gram. More would pass fewer pairs below the bound, but every row of a block carries its sketch.
+CELLS = 2
 #: Postings that a task gathers before it sends them, members of one block of a large bucket, bytes of input a block.
 POSTINGS, MEMBERS, BLOCK_BYTES = 1_500_000, 4096, 8 << 20
 
@@ -345,7 +345,7 @@ def candidates_of(sets: DataFrame, roots: DataFrame, percent: int, tree: bool) -
     own = F.pmod(F.xxhash64("key"), F.col("blocks"))
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     rows = rows.select("mark", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root", (F.col("own") > F.col("other")).cast("int").alias("side"))
-    drawn = sets.mapInArrow(sketches(CELLS[0] if tree else CELLS[1]), "key bigint, n bigint, sketch binary")
+    drawn = sets.mapInArrow(sketches(CELLS), "key bigint, n bigint, sketch binary")
     rows = rows.join(drawn, "key").repartition("mark", "low", "high").sortWithinPartitions("mark", "low", "high")
     return rows.mapInArrow(block_pairs(percent, tree), "a bigint, b bigint").distinct()
 
