@@ -265,9 +265,10 @@ def block_pairs(percent: int, tree: bool):
             step = max(1, (8 << 20) // (len(other) * int(size) * 8))
             for at in range(0, len(mine), step):
                 i = mine[at : at + step]
-                apart = (root[i][:, None] != root[other][None]) & (side[i][:, None] <= side[other][None])
-                # of two rows of one side and size, one order is enough
-                apart &= (i[:, None] < other[None]) | (words[i][:, None] != words[other][None]) | (side[i][:, None] != side[other][None])
+                apart = root[i][:, None] != root[other][None]
+                # of two rows of one size, one order is enough; of two sizes, only the smaller row meets the larger
+                before = (side[i][:, None] < side[other][None]) | ((side[i][:, None] == side[other][None]) & (i[:, None] < other[None]))
+                apart &= before | (words[i][:, None] != words[other][None])
                 if not apart.any():
                     continue
                 least = np.bitwise_count(left[at : at + step, None] ^ right[None]).sum(-1, dtype=np.int64)

@@ -88,6 +88,19 @@ def test_pairs_of_a_block(tree):
     assert pairs == every if not tree else (pairs <= every and len(pairs) == 9)
 
 
+def test_pairs_of_two_ranges(spark, monkeypatch):
+    """Where an n-gram has several ranges of members, similar sets meet whatever the sizes of their sketches."""
+    monkeypatch.setattr(ngram_join, "MEMBERS", 4)
+    r = np.random.default_rng(3)
+    base = r.integers(0, 2**63, 60, dtype=np.uint64)
+    grams = {k: np.sort(np.concatenate([base, r.integers(0, 2**63, k % 10, dtype=np.uint64)])) for k in range(24)}
+    sets = spark.createDataFrame([(k, len(g), bytearray(g.tobytes())) for k, g in grams.items()], "key bigint, n bigint, grams binary")
+    got = {tuple(p) for p in ngram_join.candidates_of(sets, spark.createDataFrame([], "id bigint, root bigint"), 75, False).collect()}
+    assert {len(g) > 64 for g in grams.values()} == {True, False}
+    links = {(a, b) for a in grams for b in grams if a < b and 175 * len(np.intersect1d(grams[a], grams[b])) >= 75 * (len(grams[a]) + len(grams[b]))}
+    assert len(links) == 276 and links <= got
+
+
 def brute_cut(found, length):
     raw = [(t or "").encode() for t in found]
     seen = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
