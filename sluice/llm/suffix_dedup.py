@@ -2,9 +2,10 @@
 
 Every window of `length` bytes names a short gram inside it by content alone, so equal windows name equal grams at
 equal places. Windows of one gram in a row are a passage. Passages whose gram stands nowhere else cannot repeat; of the
-others, equal ones become one with a count. The different passages of a gram meet in one index (a gram in very many
-different passages is cut into finer groups first, by the bytes that all windows of a band of offsets have in common). The
-index sorts their suffixes, keeps samples at the run ends of the transform, and streams matching statistics, which say
+others, equal ones become one with a count. The different passages of a gram meet in one index. A gram in very many
+different passages is cut into finer groups first, by the bytes that all windows of a band of offsets have in common; equal
+pieces of a group become one with a count again, and a group that still has very many different pieces is cut into single
+windows, which are counted. The index sorts their suffixes, keeps samples at the run ends of the transform, and streams matching statistics, which say
 of each window whether it stands elsewhere. Marked windows return to their documents, where their bytes go.
 """
 
@@ -94,7 +95,15 @@ def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 BODIES = pa.schema([("deal", pa.int64()), ("gram", pa.int64()), ("body", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("times", pa.int64()), ("passage", pa.binary())])
+#: The same of pieces in bands, with a hash of the bytes of each.
+PIECES = BODIES.append(pa.field("piece", pa.int64()))
 BODIES_DDL = "deal bigint, gram bigint, body bigint, start int, size int, times bigint, passage binary"
+PIECES_DDL = BODIES_DDL + ", piece bigint"
+
+
+def named(raw: bytes) -> int:
+    """A 64-bit name of some bytes."""
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
 def passages_of(length: int):
@@ -109,7 +118,7 @@ def passages_of(length: int):
                 for p in picks.as_py():
                     first, size = p["first"], p["size"]
                     if not p["fine"]:
-                        out.append((p["gram"], p["gram"], p["body"], 0, size, p["times"], raw[first : first + size + length - 1]))
+                        out.append((p["gram"], p["gram"], p["body"], 0, size, p["times"], raw[first : first + size + length - 1], p["body"]))
                         continue
                     covered = np.frombuffer(raw[first : first + size + length - 1], np.uint8)
                     gram = flat.range_hash(flat.prefix_hash(covered, flat.BYTES), g := np.arange(len(covered) - anchors.GRAM + 1), g + anchors.GRAM)
@@ -119,14 +128,33 @@ def passages_of(length: int):
                         band = (place - start) // BAND
                         stop = min(size, place - band * BAND + 1)
                         core = raw[first + place - band * BAND : first + place - band * BAND - BAND + 1 + length]
-                        deal = int.from_bytes(hashlib.blake2b(core + b"%d:%d" % (p["gram"], band), digest_size=8).digest(), "little", signed=True)
-                        out.append((deal, p["gram"], p["body"], start, stop - start, p["times"], raw[first + start : first + stop + length - 1]))
+                        deal = named(core + b"%d:%d" % (p["gram"], band))
+                        part = raw[first + start : first + stop + length - 1]
+                        out.append((deal, p["gram"], p["body"], start, stop - start, p["times"], part, named(part + b"%d" % (place - start))))
                         start = stop
                 if len(out) > 2000:
-                    yield common.record(BODIES, **dict(zip(BODIES.names, zip(*out, strict=True), strict=True)))
+                    yield common.record(PIECES, **dict(zip(PIECES.names, zip(*out, strict=True), strict=True)))
                     out = []
             if out:
-                yield common.record(BODIES, **dict(zip(BODIES.names, zip(*out, strict=True), strict=True)))
+                yield common.record(PIECES, **dict(zip(PIECES.names, zip(*out, strict=True), strict=True)))
+
+    return work
+
+
+WINDOWS = pa.schema([("deal", pa.int64()), ("piece", pa.int64()), ("start", pa.int32()), ("window", pa.int64()), ("times", pa.int64())])
+WINDOWS_DDL = "deal bigint, piece bigint, start int, window bigint, times bigint"
+
+
+def windows_of(length: int):
+    """The single windows of each piece. Equal windows stand at one place of one gram, so they are of one deal."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for deal, piece, size, times, raw in zip(*(batch.column(c).to_pylist() for c in ("deal", "piece", "size", "times", "passage")), strict=True):
+                out += [(deal, piece, i, named(raw[i : i + length]), times) for i in range(size)]
+            if out:
+                yield common.record(WINDOWS, **dict(zip(WINDOWS.names, zip(*out, strict=True), strict=True)))
 
     return work
 
@@ -167,6 +195,32 @@ def marked(length: int):
     return work
 
 
+MARKED_DDL = "gram bigint, body bigint, start int, stop int"
+
+
+def marked_in_bands(cut: DataFrame, length: int, pieces: int) -> DataFrame:
+    """Ranges of windows that stand elsewhere, of passages cut into bands.
+
+    Equal pieces are one with a count before they are dealt, so a deal holds different ones only. Where these are still
+    too many for an index, equal windows are counted instead; counts are combined before the exchange, so no task
+    receives a group as large as its passage is frequent.
+    """
+    cut = common.keep(cut, "repeat-pieces")
+    once = cut.groupBy("deal", "piece").agg(F.first("size").alias("size"), F.sum("times").alias("times"), F.first("passage").alias("passage"))
+    once = common.keep(once, "repeat-bands")
+    deals = once.groupBy("deal").agg(F.count("*").alias("different"))
+    once = once.join(deals, "deal")
+    few = once.where(F.col("different") <= FORMS)
+    few = few.select("deal", F.col("deal").alias("gram"), F.col("piece").alias("body"), F.lit(0).alias("start"), "size", "times", "passage")
+    few = few.repartition(pieces, "deal").sortWithinPartitions("deal").mapInArrow(marked(length), MARKED_DDL)
+    few = few.select(F.col("gram").alias("deal"), F.col("body").alias("piece"), F.col("start").alias("from"), "stop")
+    many = once.where(F.col("different") > FORMS).select("deal", "piece", "size", "times", "passage").mapInArrow(windows_of(length), WINDOWS_DDL)
+    again = many.groupBy("deal", "window").agg(F.sum("times").alias("all")).where("all > 1").select("deal", "window")
+    many = many.join(again, ["deal", "window"]).select("deal", "piece", F.col("start").alias("from"), (F.col("start") + 1).alias("stop"))
+    out = cut.select("deal", "piece", "gram", "body", "start").join(few.union(many), ["deal", "piece"])
+    return out.select("gram", "body", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("stop")).alias("stop"))
+
+
 CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
@@ -224,11 +278,16 @@ def suffix_dedup(documents: DataFrame, length: int = 200, with_bytes: bool = Fal
     # Equal passages are one with a count; where a gram has no other passage, there is nothing to index.
     alone = counted.where("forms = 1").select("gram", "body", F.lit(0).alias("start"), F.col("size").alias("stop"))
     picks = counted.where("forms > 1").withColumn("fine", F.col("forms") > FORMS)
-    picks = picks.groupBy("rid", "did").agg(F.collect_list(F.struct("gram", "body", "times", "first", "size", "fine")).alias("picks"))
     dealt = docs.repartition(pieces, "rid", "did")
-    bodies = dealt.join(picks, ["rid", "did"]).select("text", "picks").mapInArrow(passages_of(length), BODIES_DDL)
-    bodies = bodies.repartition(pieces, "deal").sortWithinPartitions("deal")
-    marks = bodies.mapInArrow(marked(length), "gram bigint, body bigint, start int, stop int").union(alone)
+
+    def bodies(chosen: DataFrame) -> DataFrame:
+        own = chosen.groupBy("rid", "did").agg(F.collect_list(F.struct("gram", "body", "times", "first", "size", "fine")).alias("picks"))
+        return dealt.join(own, ["rid", "did"]).select("text", "picks").mapInArrow(passages_of(length), PIECES_DDL)
+
+    whole = bodies(picks.where("not fine")).drop("piece").repartition(pieces, "deal").sortWithinPartitions("deal")
+    marks = whole.mapInArrow(marked(length), MARKED_DDL).union(alone)
+    if not picks.where("fine").isEmpty():
+        marks = marks.union(marked_in_bands(bodies(picks.where("fine")), length, pieces))
 
     spans = found.join(marks, ["gram", "body"])
     packed = F.shiftleft(F.col("first") + F.col("start"), 20).bitwiseOR((F.col("stop") - F.col("start")).cast("bigint"))

@@ -122,6 +122,33 @@ def test_suffix_dedup(docs, empty, fine, monkeypatch):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("forms", [3, 20])
+def test_frequent_passage_is_bounded(spark, forms, monkeypatch):
+    """A passage in many documents with different neighbours is never one large group of an index."""
+    monkeypatch.setattr(suffix_dedup, "FORMS", forms)
+    index = suffix_dedup.marked
+
+    def bounded(length):
+        def work(batches):
+            def checked():
+                deals = Counter()
+                for batch in batches:
+                    deals.update(batch.column("deal").to_pylist())
+                    assert max(deals.values(), default=0) <= forms
+                    yield batch
+
+            yield from index(length)(checked())
+
+        return work
+
+    monkeypatch.setattr(suffix_dedup, "marked", bounded)
+    middle = prose(70, 80)
+    found = [prose(100 + i, 30) + middle + prose(300 + i, 30) for i in range(60)] + [middle[:230] + prose(500 + i, 40) for i in range(8)]
+    rows = spark.createDataFrame(list(enumerate(found)), "doc_id bigint, text string")
+    got = Counter(tuple(r) for r in suffix_dedup.suffix_dedup(rows).collect())
+    assert got == Counter((i, *x) for i, x in enumerate(brute_cut(found, 200)))
+
+
 def test_matching_statistics():
     r = random.Random(4)
     passages = [bytes(r.choice(b"ab") for _ in range(r.randint(1, 60))) for _ in range(12)]
