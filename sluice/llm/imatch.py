@@ -1,10 +1,11 @@
 """I-Match fingerprints: terms of a band of inverse document frequency, hashed through randomised lexicon subsets.
 
-Only DataFrame functions. The lexicon holds the terms whose share of documents lies in the band; its size is at most the mean
-number of distinct terms of a document divided by the lower end of the band, whatever the number of documents, so
-it may be broadcast. A seeded hash deals each term of the lexicon to one of `SUBSETS` subsets. In each subset the
-distinct terms of a document are sorted and hashed; the hashes together are its fingerprint, and the share of equal hashes
-among the subsets that either document uses is the likeness of two.
+Only DataFrame functions. The lexicon holds the terms whose share of the different texts is not below the band; its size is at most the mean
+number of distinct terms of a text divided by the lower end of the band, whatever the number of documents, so
+it may be broadcast. A term that it lacks is rare. A seeded hash deals each term to one of `SUBSETS` subsets. In each subset the
+distinct terms of a document that lie in the band are sorted and hashed; the hashes together are its fingerprint, and the share of equal
+hashes among the subsets that either document uses is the likeness of two. A document without a term of the band has the
+fingerprint of its `RAREST` rarest terms; where one of two has none, these are compared in both.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from sluice.llm import common
 SUBSETS = 48
 #: Least and largest share of documents that hold a term of the lexicon, and least number of documents.
 BAND, LEAST = (0.0005, 0.004), 2
+#: Terms of a document, the rarest first, that stand in for those of the band.
+RAREST = 48
 SEED = "imatch-1"
 BUCKET_BYTES, BUCKETS = 16 << 20, 4096
 
@@ -27,16 +30,21 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
 
+def subset_of(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term, F.lit(SEED)), F.lit(SUBSETS)).cast("int")
+
+
 def lexicon(documents: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """Hash of each term in the band, counted over all documents, and its subset."""
+    """Hash of each term in the band or above it, the number of different texts that hold it, and whether it is in the band."""
     texts = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    count = documents.select(F.count("*").alias("rows"))
-    each = texts.select(F.explode(words(F.col("text"))).alias("word")).where("word <> ''")
+    # Copies count once, so that the terms of a text with many copies are as rare as they are without.
+    count = texts.select(F.xxhash64("text").alias("name")).distinct().agg(F.count("*").alias("rows"))
+    each = texts.distinct().select(F.explode(words(F.col("text"))).alias("word")).where("word <> ''")
     df = each.groupBy(F.xxhash64("word").alias("term")).agg(F.count("*").alias("df"))
     share = F.col("df") / F.col("rows")
     # One row, so each side of this join is as long as the other table.
-    kept = df.join(F.broadcast(count), F.lit(True)).where((share >= band[0]) & (share <= band[1]) & (F.col("df") >= LEAST))
-    return kept.select("term", F.pmod(F.xxhash64("term", F.lit(SEED)), F.lit(SUBSETS)).cast("int").alias("subset"))
+    kept = df.join(F.broadcast(count), F.lit(True)).where((share >= band[0]) & (F.col("df") >= LEAST))
+    return kept.select("term", "df", (share <= band[1]).alias("inside"))
 
 
 def borders(ids: DataFrame, buckets: int) -> list[int]:
@@ -132,8 +140,8 @@ def fingerprints(documents: DataFrame, band: tuple[float, float] = BAND) -> Data
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many of the next row's text, in
     descending doc_id; after the last row comes the first. A row without doc_id comes after all others, equal ids in the order of
-    their texts; a null text is empty. A text without a term of the lexicon has an empty fingerprint: its
-    likeness to another empty one is 1, to any other 0. Repeated rows are returned as often as they came. An
+    their texts; a null text is empty. A text without a term of the band has the fingerprint of its rarest terms, and only one
+    without words has an empty fingerprint: its likeness to another empty one is 1, to any other 0. Repeated rows are returned as often as they came. An
     empty table gives an empty result.
     """
     rows = with_next(documents)
@@ -151,16 +159,39 @@ def fingerprints(documents: DataFrame, band: tuple[float, float] = BAND) -> Data
     both = [version(-1, F.array(F.lit("")), info), version(0, words(F.col("text")), nothing), version(1, words(F.col("edited")), nothing)]
     each = rows.select(*key, F.inline(F.array(*both))).select(*key, "version", "info", F.explode("words").alias("word"))
     each = each.where("version = -1 or word <> ''").withColumn("term", F.xxhash64("word")).drop("word")
-    each = each.join(F.broadcast(lexicon(documents, band)), "term", "left").where("version = -1 or subset is not null")
-    pairs = F.sort_array(F.collect_set(F.when(F.col("version") >= 0, F.struct("version", "subset", "term")))).alias("pairs")
+    each = each.join(F.broadcast(lexicon(documents, band)), "term", "left")
+    # A term that the lexicon lacks is rarer than all that it holds.
+    found = F.struct("version", subset_of(F.col("term")).alias("subset"), "term")
+    inside, has = F.coalesce("inside", F.lit(False)), F.col("version") >= 0
+    pairs = F.sort_array(F.collect_set(F.when(has & inside, found))).alias("pairs")
+    rare = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")
+    outside = [F.collect_set(F.when((F.col("version") == v) & ~inside, rare)).alias(f"outside_{v}") for v in (0, 1)]
     # Rows are dealt by `at` already, so this needs no exchange.
-    docs = each.groupBy(*key).agg(F.first("info", ignorenulls=True).alias("info"), pairs)
-    docs = docs.select(*key, "info.*", hashed(F.col("pairs")).alias("marks"))
+    docs = each.groupBy(*key).agg(F.first("info", ignorenulls=True).alias("info"), pairs, *outside)
+
+    def rarest(v: int) -> Column:
+        first = F.slice(F.sort_array(F.col(f"outside_{v}")), 1, RAREST)
+        return F.transform(first, lambda r: F.struct(F.lit(v + 2).alias("version"), subset_of(r["term"]).alias("subset"), r["term"].alias("term")))
+
+    pairs = F.concat(F.col("pairs"), F.sort_array(rarest(0)), F.sort_array(rarest(1)))
+    docs = docs.select(*key, "info.*", hashed(pairs).alias("marks"))
     docs = common.keep(docs, "imatch")
-    docs = docs.select("*", of_version(F.col("marks"), 0).alias("own"), of_version(F.col("marks"), 1).alias("changed"))
-    following = docs.select(F.col("at").alias("next_at"), F.col("rank").alias("next_rank"), F.col("own").alias("following"))
+    own, changed = ((of_version(F.col("marks"), v), of_version(F.col("marks"), v + 2)) for v in (0, 1))
+    docs = docs.select("*", own[0].alias("own"), own[1].alias("own_rare"), changed[0].alias("changed"), changed[1].alias("changed_rare"))
+    following = docs.select(F.col("at").alias("next_at"), F.col("rank").alias("next_rank"), F.col("own").alias("following"), F.col("own_rare").alias("following_rare"))
     out = docs.join(following, ["next_at", "next_rank"], "left")
+
+    def printed(name: str) -> Column:
+        return F.array_join(F.when(F.size(name) > 0, F.col(name)).otherwise(F.col(f"{name}_rare")), ",")
+
+    def alike(a: str, b: str) -> Column:
+        both = (F.size(a) > 0) & (F.size(b) > 0)
+        # A text of terms of the band alone is not like one without words.
+        unlike = (F.size(f"{a}_rare") + F.size(f"{b}_rare") == 0) & (F.size(a) + F.size(b) > 0)
+        rare = likeness(F.col(f"{a}_rare"), F.col(f"{b}_rare"))
+        return F.when(both, likeness(F.col(a), F.col(b))).when(unlike, F.lit(0.0)).otherwise(rare)
+
     return out.select(
-        "doc_id", "n_chars", "edited_sha256", F.array_join("own", ",").alias("fingerprint"), F.array_join("changed", ",").alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", printed("own").alias("fingerprint"), printed("changed").alias("edited_fingerprint"),
+        alike("own", "changed").alias("near_edited"), alike("own", "following").alias("near_next"),
     )

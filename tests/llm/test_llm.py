@@ -219,6 +219,23 @@ def test_imatch(docs, empty, monkeypatch):
     assert imatch.fingerprints(empty).count() == 0
 
 
+def test_imatch_tells_copies_from_unrelated_texts(spark):
+    """Many copies, or terms that are all common or all rare, leave no text with words without a fingerprint of its own."""
+    group, other, common_words = prose(600, 60), prose(601, 60), [prose(602, 40), prose(603, 40)]
+    filler = [prose(1000 + i, 12) for i in range(300)]
+    found = [group] * 200 + [group + " extra"] + [other, *common_words, "", "  "] + filler
+    rows = spark.createDataFrame(list(enumerate(found)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in imatch.fingerprints(rows).collect()}
+    assert all((r["fingerprint"] == "") == (not found[i].strip()) for i, r in got.items())
+    assert got[0]["fingerprint"] not in {got[201]["fingerprint"], got[202]["fingerprint"]}
+    # descending ids: the next row of i is i - 1
+    assert got[5]["near_next"] == 1 and got[201]["near_next"] < 0.2 and got[203]["near_next"] < 0.2
+    assert got[200]["near_next"] > 0.5 and got[5]["near_edited"] > 0
+    distinct = len(set(found))
+    lexicon = {r["term"]: r["df"] for r in imatch.lexicon(rows).collect()}
+    assert max(lexicon.values()) <= distinct
+
+
 def test_classifiers(spark, docs, empty):
     many = [(i, prose(i, 60) + (" BAD!! WORDS!!" * 20 if i % 2 else ""), None, None, 0, "", "", "") for i in range(300)]
     table = spark.createDataFrame(many, DOCUMENTS)
