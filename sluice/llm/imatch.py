@@ -135,6 +135,39 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(same / F.greatest(either, F.lit(1)))
 
 
+def half_replaced(text: Column, following: Column) -> Column:
+    half = F.floor(F.length(text) / 2).cast("int")
+    return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
+
+
+def by_rarest(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Fingerprints by their rarest terms of some rows, of their edited texts and of the texts after them.
+
+    `rows` has at, rank and the hashes of a row's text and of the next one; only the texts they name are read into words.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    wanted = rows.select(F.explode(F.array("text_name", "next_text_name")).alias("name")).distinct()
+    found = documents.select(text.alias("text")).withColumn("name", F.xxhash64("text")).join(wanted, "name").dropDuplicates(["name"])
+    pairs = rows.join(found.select(F.col("name").alias("text_name"), "text"), "text_name")
+    pairs = pairs.join(found.select(F.col("name").alias("next_text_name"), F.col("text").alias("next_text")), "next_text_name")
+    versions = [F.col("text"), half_replaced(F.col("text"), F.col("next_text")), F.col("next_text")]
+    # The empty word stays, so that a row without words has its place.
+    each = pairs.select("at", "rank", F.posexplode(F.array(*[F.array_union(F.array(F.lit("")), words(v)) for v in versions])).alias("version", "words"))
+    each = each.select("at", "rank", "version", F.explode("words").alias("word")).withColumn("term", F.xxhash64("word"))
+    each = each.join(F.broadcast(known), "term", "left").where("inside is null or not inside")
+    # A term that the lexicon lacks is rarer than all that it holds.
+    term = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")
+    sets = [F.collect_set(F.when((F.col("version") == v) & (F.col("word") != ""), term)).alias(f"outside_{v}") for v in range(3)]
+    each = each.groupBy("at", "rank").agg(*sets)
+
+    def rarest(v: int) -> Column:
+        first = F.slice(F.sort_array(F.col(f"outside_{v}")), 1, RAREST)
+        return F.sort_array(F.transform(first, lambda r: F.struct(F.lit(v).alias("version"), subset_of(r["term"]).alias("subset"), r["term"].alias("term"))))
+
+    marks = [of_version(hashed(rarest(v)), v).alias(f"{c}_rare") for v, c in enumerate(("own", "changed", "following"))]
+    return common.keep(each.select("at", "rank", *marks), "imatch-rarest")
+
+
 def fingerprints(documents: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of each row.
 
@@ -146,11 +179,11 @@ def fingerprints(documents: DataFrame, band: tuple[float, float] = BAND) -> Data
     """
     rows = with_next(documents)
     n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.withColumn("edited", edited)
+    rows = rows.withColumn("edited", half_replaced(F.col("text"), F.col("next_text")))
     key = ["at", "rank"]
-    info = F.struct("doc_id", "next_at", "next_rank", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    has = [F.col(c).rlike(r"[\p{L}\p{N}]").alias(f"{c}_has") for c in ("text", "edited")]
+    names = [F.xxhash64(c).alias(f"{c}_name") for c in ("text", "next_text")]
+    info = F.struct("doc_id", "next_at", "next_rank", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), *has, *names)
 
     def version(number: int, found: Column, more: Column) -> Column:
         return F.struct(F.lit(number).alias("version"), found.alias("words"), more.alias("info"))
@@ -159,37 +192,30 @@ def fingerprints(documents: DataFrame, band: tuple[float, float] = BAND) -> Data
     both = [version(-1, F.array(F.lit("")), info), version(0, words(F.col("text")), nothing), version(1, words(F.col("edited")), nothing)]
     each = rows.select(*key, F.inline(F.array(*both))).select(*key, "version", "info", F.explode("words").alias("word"))
     each = each.where("version = -1 or word <> ''").withColumn("term", F.xxhash64("word")).drop("word")
-    each = each.join(F.broadcast(lexicon(documents, band)), "term", "left")
-    # A term that the lexicon lacks is rarer than all that it holds.
-    found = F.struct("version", subset_of(F.col("term")).alias("subset"), "term")
-    inside, has = F.coalesce("inside", F.lit(False)), F.col("version") >= 0
-    pairs = F.sort_array(F.collect_set(F.when(has & inside, found))).alias("pairs")
-    rare = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")
-    outside = [F.collect_set(F.when((F.col("version") == v) & ~inside, rare)).alias(f"outside_{v}") for v in (0, 1)]
+    known = common.keep(lexicon(documents, band), "imatch-lexicon")
+    inside = known.where("inside").select("term", subset_of(F.col("term")).alias("subset"))
+    each = each.join(F.broadcast(inside), "term", "left").where("version = -1 or subset is not null")
+    pairs = F.sort_array(F.collect_set(F.when(F.col("version") >= 0, F.struct("version", "subset", "term")))).alias("pairs")
     # Rows are dealt by `at` already, so this needs no exchange.
-    docs = each.groupBy(*key).agg(F.first("info", ignorenulls=True).alias("info"), pairs, *outside)
-
-    def rarest(v: int) -> Column:
-        first = F.slice(F.sort_array(F.col(f"outside_{v}")), 1, RAREST)
-        return F.transform(first, lambda r: F.struct(F.lit(v + 2).alias("version"), subset_of(r["term"]).alias("subset"), r["term"].alias("term")))
-
-    pairs = F.concat(F.col("pairs"), F.sort_array(rarest(0)), F.sort_array(rarest(1)))
-    docs = docs.select(*key, "info.*", hashed(pairs).alias("marks"))
+    docs = each.groupBy(*key).agg(F.first("info", ignorenulls=True).alias("info"), pairs)
+    docs = docs.select(*key, "info.*", hashed(F.col("pairs")).alias("marks"))
     docs = common.keep(docs, "imatch")
-    own, changed = ((of_version(F.col("marks"), v), of_version(F.col("marks"), v + 2)) for v in (0, 1))
-    docs = docs.select("*", own[0].alias("own"), own[1].alias("own_rare"), changed[0].alias("changed"), changed[1].alias("changed_rare"))
-    following = docs.select(F.col("at").alias("next_at"), F.col("rank").alias("next_rank"), F.col("own").alias("following"), F.col("own_rare").alias("following_rare"))
+    docs = docs.select("*", of_version(F.col("marks"), 0).alias("own"), of_version(F.col("marks"), 1).alias("changed")).drop("marks")
+    following = docs.select(F.col("at").alias("next_at"), F.col("rank").alias("next_rank"), F.col("own").alias("following"), F.col("text_has").alias("following_has"))
     out = docs.join(following, ["next_at", "next_rank"], "left")
+    lacks = [(F.size(a) == 0) & F.col(b) for a, b in (("own", "text_has"), ("changed", "edited_has"), ("following", "following_has"))]
+    rare = by_rarest(documents, out.where(lacks[0] | lacks[1] | lacks[2]).select(*key, "text_name", "next_text_name"), known)
+    out = out.join(rare, key, "left")
 
     def printed(name: str) -> Column:
-        return F.array_join(F.when(F.size(name) > 0, F.col(name)).otherwise(F.col(f"{name}_rare")), ",")
+        return F.array_join(F.when((F.size(name) == 0) & F.col(f"{name}_rare").isNotNull(), F.col(f"{name}_rare")).otherwise(F.col(name)), ",")
 
     def alike(a: str, b: str) -> Column:
-        both = (F.size(a) > 0) & (F.size(b) > 0)
+        rarest = F.col("own_rare").isNotNull() & ((F.size(a) == 0) | (F.size(b) == 0))
         # A text of terms of the band alone is not like one without words.
         unlike = (F.size(f"{a}_rare") + F.size(f"{b}_rare") == 0) & (F.size(a) + F.size(b) > 0)
-        rare = likeness(F.col(f"{a}_rare"), F.col(f"{b}_rare"))
-        return F.when(both, likeness(F.col(a), F.col(b))).when(unlike, F.lit(0.0)).otherwise(rare)
+        of_rare = F.when(unlike, F.lit(0.0)).otherwise(likeness(F.col(f"{a}_rare"), F.col(f"{b}_rare")))
+        return F.when(rarest, of_rare).otherwise(likeness(F.col(a), F.col(b)))
 
     return out.select(
         "doc_id", "n_chars", "edited_sha256", printed("own").alias("fingerprint"), printed("changed").alias("edited_fingerprint"),
