@@ -21,7 +21,7 @@ CELLS, LENGTHS = 1 << 18, (2, 3, 4, 5)
 SAMPLE = 10_000
 
 #: Host, start of the path, verdict.
-RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de", "block"))
+RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:

@@ -302,11 +302,12 @@ def test_plan_is_best_fit():
 
 
 def test_url_filter(spark):
-    urls = [None, "", "no scheme", "http://A.Org/x?y", "https://sub.example.org/es/1", "http://example.org/en/12#x", "http://x.com/fr/", "http://x.com/de", "http://com/fr/?q", "http://notorg/x", "http://b.net", "ftp://x.com?a/fr/", "http://org"]
+    urls = [None, "", "no scheme", "http://A.Org/x?y", "https://sub.example.org/es/1", "http://example.org/en/12#x", "http://x.com/fr/", "http://x.com/de", "http://com/fr/?q", "http://notorg/x", "http://b.net", "ftp://x.com?a/fr/", "http://org", "http://x.com/de/a", "http://com/dental"]
     pages = spark.createDataFrame([(i, u, "h", "clash") for i, u in enumerate(urls)], "page_id bigint, url string, html string, host string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filtered(pages).collect()}
-    want = {3: ("a.org", "/x", "org/", "allow"), 4: ("sub.example.org", "/es/1", "example.org/es/", "block"), 5: ("example.org", "/en/12", "example.org/en/1", "block"), 6: ("x.com", "/fr/", "com/fr/", "allow"), 7: ("x.com", "/de", "com/de", "block"), 8: ("com", "/fr/", "com/fr/", "allow")}
+    want = {3: ("a.org", "/x", "org/", "allow"), 4: ("sub.example.org", "/es/1", "example.org/es/", "block"), 5: ("example.org", "/en/12", "example.org/en/1", "block"), 6: ("x.com", "/fr/", "com/fr/", "allow"), 8: ("com", "/fr/", "com/fr/", "allow"), 13: ("x.com", "/de/a", "com/de/", "block")}
     assert {i: got[i] for i in want} == want
+    assert got[7][:3] == ("x.com", "/de", None) and got[14][:3] == ("com", "/dental", None)
     assert all(got[i][:3] == ("", "", None) for i in (0, 1, 2))
     assert got[9][2] is None and got[10][:3] == ("b.net", "", None) and got[11][:3] == ("x.com", "", None) and got[12][2] is None
     assert all(v[3] in ("allow", "block") for v in got.values())
