@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import imatch, mixing, ngram_join, packing, pii, quality_fm, suffix_dedup, toxicity, url_filter, vp_search
+from sluice.llm import fp_search, imatch, merkle, mixing, ngram_join, packing, pii, quality_fm, secrets, suffix_dedup, toxicity, url_filter, vp_search
 from sluice.llm.common import documents
 
 #: Pruning as in exact search: on vectors of many even dimensions, larger factors lose answers and save nothing.
@@ -54,10 +54,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, sf_dir))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir)).drop("copied")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_ngram_join, op2_suffix_dedup, op3_pii, op4_nearest, op5_imatch, op6_quality, op7_packing, op8_toxicity, op9_url_filter, op10_mixing)
-}
+    for f in (
+        op1_ngram_join, op2_suffix_dedup, op3_pii, op4_nearest, op5_imatch, op6_quality, op7_packing, op8_toxicity, op9_url_filter, op10_mixing,
+        op11_ranked_search, op12_secrets, op13_merkle,
+    )
+}
 
 
 def _mixing_sql() -> str:
@@ -96,6 +111,93 @@ def _mixing_sql() -> str:
     )
 
 
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SEARCH = f"""
+    WITH terms AS (SELECT doc_id, unnest(regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+    asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+    sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM terms GROUP BY doc_id),
+    totals AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+    counts AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM terms SEMI JOIN asked USING (term) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * any_value(all_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counts, totals GROUP BY term),
+    gains AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))) AS gain
+      FROM counts JOIN sizes USING (doc_id) JOIN weights USING (term), totals),
+    scores AS (SELECT item_id, doc_id, sum(gain)::BIGINT AS score FROM asked JOIN gains USING (term) GROUP BY ALL HAVING sum(gain) > 0),
+    ranks AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores)
+    SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 10"""
+
+
+def _secrets_sql() -> str:
+    """Positions are sums of the lengths of the pieces between matches and of the matches before."""
+    letters = "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+    patterns = {"assign": letters + """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
+    least = {"access": 18, "hex": 16}
+    patterns |= {r.kind: r.pattern for r in secrets.RULES if not r.base}
+    least |= {r.kind: r.least for r in secrets.RULES if not r.base}
+    steps = ["texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents)"]
+    for n, (kind, pattern) in enumerate(patterns.items()):
+        passes = f"length(regexp_extract(hit, '{pattern}', 2)) >= 12" if kind == "assign" else f"length(hit) >= {least[kind]}"
+        steps.append(
+            f"m{n} AS (SELECT r, unnest(h) AS hit, unnest(p) AS gap, generate_subscripts(h, 1) AS i FROM (SELECT r, regexp_extract_all(text, '{pattern}') AS h,"
+            f" regexp_split_to_array(text, '{pattern}') AS p FROM texts WHERE regexp_matches(text, '{pattern}')) WHERE true),\n"
+            f"e{n} AS (SELECT r, hit, sum(length(gap) + coalesce(length(hit), 0)) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING)::BIGINT AS last FROM m{n}),\n"
+            f"s{n} AS (SELECT r, {n} AS k, '{kind}' AS kind, last - length(hit) AS first, last FROM e{n} WHERE hit IS NOT NULL AND {passes})"
+        )
+    base, more = (" UNION ALL ".join(f"SELECT * FROM s{n}" for n in some) for some in (range(3), range(3, len(patterns))))
+    steps.append(f"base AS ({base})")
+    steps.append(f"more AS (SELECT * FROM ({more}) m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = m.r AND b.first < m.last AND m.first < b.last))")
+    word = "string_agg(kind || ':' || first || ':' || last, ',' ORDER BY first, k)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in ("assign", "access", "hex"))
+    steps.append(f"b AS (SELECT r, {counts}, {word} AS w FROM base GROUP BY r)")
+    steps.append(f"a AS (SELECT r, {word} AS w FROM (SELECT * FROM base UNION ALL SELECT * FROM more) GROUP BY r)")
+    found = ", ".join(f"coalesce(n_{kind}, 0)::BIGINT AS n_{kind}" for kind in ("assign", "access", "hex"))
+    return (
+        "WITH " + ",\n".join(steps) + f"\nSELECT doc_id, {found}, sha256(coalesce(b.w, '')) AS base_sha256, coalesce(a.w, '') AS spans"
+        " FROM texts LEFT JOIN b USING (r) LEFT JOIN a USING (r)"
+    )
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """Enough levels for 16 ** levels rows of a source, and as many sources; a key that has one node left keeps it."""
+    value = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(value(c) for c in merkle.FIELDS[:-1])
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))"
+    codes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::UBIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda a, b: {bits}), 4294967295::UBIGINT)"
+    steps = [
+        f"l AS MATERIALIZED (SELECT doc_id, coalesce('+' || source, '') AS key, sha256({head} || {value('text')}) AS leaf,"
+        f" CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {value(low)}) END AS bad FROM documents)",
+        "a0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM l)",
+        "n0 AS MATERIALIZED (SELECT key, place, leaf AS d FROM a0)",
+    ]
+
+    def level(now: str, new: str) -> None:
+        run = "PARTITION BY key, place // 16 ORDER BY place ROWS BETWEEN"
+        steps.append(
+            f"s{now} AS MATERIALIZED (SELECT key, place, d, count(*) OVER (PARTITION BY key) AS n, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS le,"
+            f" coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS ri FROM n{now})"
+        )
+        steps.append(f"n{new} AS MATERIALIZED (SELECT key, place // 16 AS place, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY place)) ELSE any_value(d) END AS d FROM s{now} GROUP BY key, place // 16)")
+
+    for i in range(levels):
+        level(str(i), str(i + 1))
+    steps.append(f"nt0 AS MATERIALIZED (SELECT '' AS key, row_number() OVER (ORDER BY key) - 1 AS place, d, key AS source_key FROM n{levels})")
+    for i in range(levels):
+        level(f"t{i}", f"t{i + 1}")
+    steps.append(f"f0 AS MATERIALIZED (SELECT a0.*, nt0.place AS source_place, nt0.d AS subroot, coalesce(bad, leaf) AS fold, '' AS proof FROM a0 JOIN nt0 ON nt0.source_key = a0.key)")
+    for i in range(2 * levels):
+        of, place, key = (f"s{i}", f"f.place // {16 ** i}", "f.key") if i < levels else (f"st{i - levels}", f"f.source_place // {16 ** (i - levels)}", "''")
+        steps.append(
+            f"f{i + 1} AS MATERIALIZED (SELECT f.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.le || f.fold || s.ri) ELSE f.fold END AS fold, f.proof || s.le || s.ri AS proof)"
+            f" FROM f{i} f JOIN {of} s ON s.key = {key} AND s.place = {place})"
+        )
+    return (
+        "WITH " + ",\n".join(steps) + f"\nSELECT doc_id, leaf, subroot, r.d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = r.d AS verified"
+        f" FROM f{2 * levels}, nt{levels} r"
+    )
+
+
 STATEMENTS = {
     "op1_ngram_join": """
         WITH RECURSIVE split AS (
@@ -121,4 +223,7 @@ STATEMENTS = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op10_mixing": _mixing_sql(),
+    "op11_ranked_search": _SEARCH,
+    "op12_secrets": _secrets_sql(),
+    "op13_merkle": _merkle_sql(),
 }
