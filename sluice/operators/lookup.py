@@ -7,29 +7,20 @@ explicit snapshot, either supplied or rebuilt from the log up to a chosen time.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions import cluster_time
+from sluice.operators import patches
 
-KEY = ("db", "coll", "documentKey")
+KEY = patches.KEY
 
 
 def snapshot(events: DataFrame, until: int | None = None) -> DataFrame:
     """The documents that exist after the last event of every key.
 
-    ``until`` (epoch seconds) leaves later events of the log out. The newest
-    event of a key is found by a partial aggregate, so a key with very many events
-    is reduced to one row per input partition before the shuffle.
+    ``until`` (epoch seconds) leaves later events of the log out. Updates without a document are folded into the last
+    whole one, see ``operators.patches``; a key of which no whole document is known has none.
     """
     if until is not None:
         events = events.where(F.col("T") <= until)
-    newest = events.groupBy(*KEY).agg(
-        F.max_by(
-            F.struct("operationType", "fullDocument"),
-            cluster_time.sequence(F.col("T"), F.col("I")),
-        ).alias("last")
-    )
-    return newest.where(F.col("last.operationType") != "delete").select(
-        *KEY, F.col("last.fullDocument").alias("fullDocument")
-    )
+    return patches.documents(patches.composed(patches.writes(events)))
 
 
 def attach_documents(events: DataFrame, documents: DataFrame) -> DataFrame:

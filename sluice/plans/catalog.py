@@ -247,6 +247,12 @@ def state_as_of(spark, sf_dir):
     return lookup.snapshot(_events(spark, sf_dir), AS_OF)
 
 
+def state_from_updates(spark, sf_dir):
+    """Current documents of a log whose updates carry none, only what they changed."""
+    _pin(spark)
+    return lookup.snapshot(_text_events(table_events.patch_lines(spark, sf_dir)))
+
+
 def full_document_lookup(spark, sf_dir):
     events = _events(spark, sf_dir)
     attached = lookup.attach_documents(events, lookup.snapshot(events))
@@ -510,6 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_document_lookup": full_document_lookup,
     "current_state": current_state,
     "state_as_of": state_as_of,
+    "state_from_updates": state_from_updates,
     "relay_audit": relay_audit,
     "last_position": last_position,
     "ordered_delivery": ordered_delivery,

@@ -57,26 +57,34 @@ def _line(
     """).alias("value")
 
 
-def event_lines(
-    spark: SparkSession, sf_dir: str, since: str | None = None, before: str | None = None
-) -> DataFrame:
-    """The ``events`` table as changes of the collections ``users_0`` … ``users_3``.
-
-    ``since`` and ``before`` (timestamp texts) select a part of the log; they reach
-    the scan of the table.
-    """
-    rows = read_table(spark, sf_dir, "events")
+def _between(rows: DataFrame, since: str | None, before: str | None) -> DataFrame:
     if since is not None:
         rows = rows.where(f"ts >= TIMESTAMP_NTZ '{since}'")
     if before is not None:
         # A row without a time belongs to the first part.
         undated = " OR ts IS NULL" if since is None else ""
         rows = rows.where(f"ts < TIMESTAMP_NTZ '{before}'{undated}")
+    return rows
+
+
+def _operation() -> str:
     cases = " ".join(
         f"WHEN '{event_type}' THEN '{operation}'"
         for event_type, operation in OPERATION_OF_EVENT_TYPE.items()
     )
-    operation = f"CASE event_type {cases} END"
+    return f"CASE event_type {cases} END"
+
+
+def event_lines(
+    spark: SparkSession, sf_dir: str, since: str | None = None, before: str | None = None
+) -> DataFrame:
+    """The ``events`` table as changes of the collections ``users_0`` … ``users_3``.
+
+    ``since`` and ``before`` (timestamp texts) select a part of the log; they reach
+    the scan of the table.
+    """
+    rows = _between(read_table(spark, sf_dir, "events"), since, before)
+    operation = _operation()
     value = "CAST(value AS DECIMAL(18,2))"
     document = (
         f"named_struct('_id', user_id, 'event_type', event_type, 'value', {value}, "
@@ -99,6 +107,40 @@ def event_lines(
     )
 
 
+def patch_lines(
+    spark: SparkSession, sf_dir: str, since: str | None = None, before: str | None = None
+) -> DataFrame:
+    """The ``events`` table as a log whose updates carry no document, only what they changed.
+
+    Clicks set a field and a place inside another one; views set and remove places and cut an array.
+    """
+    rows = _between(read_table(spark, sf_dir, "events"), since, before)
+    operation = _operation()
+    value = "CAST(value AS DECIMAL(18,2))"
+    document = (
+        f"named_struct('_id', user_id, 'event_type', event_type, 'value', {value}, "
+        "'props', parse_json(props), 'recent', array(event_id, event_id + 1, event_id + 2))"
+    )
+    clicked = f"map('value', CAST({value} AS VARIANT), 'props.last', CAST(event_id AS VARIANT))"
+    viewed = "map('props.seen', CAST(event_id AS VARIANT))"
+    none = "CAST(array() AS ARRAY<STRING>)"
+    cuts = "array(named_struct('field', 'recent', 'newSize', 1))"
+    no_cuts = "CAST(array() AS ARRAY<STRUCT<field: STRING, newSize: INT>>)"
+    click = f"named_struct('updatedFields', {clicked}, 'removedFields', {none}, 'truncatedArrays', {no_cuts})"
+    view = f"named_struct('updatedFields', {viewed}, 'removedFields', array('props.last'), 'truncatedArrays', {cuts})"
+    return rows.select(
+        _line(
+            operation,
+            "unix_seconds(CAST(ts AS TIMESTAMP))",
+            "event_id",
+            f"concat('users_', user_id % {COLLECTIONS})",
+            "named_struct('_id', user_id)",
+            f"CASE WHEN {operation} IN ('insert', 'replace') THEN {document} END",
+            f"CASE event_type WHEN 'click' THEN {click} WHEN 'view' THEN {view} END",
+        )
+    )
+
+
 def _inserts(
     rows: DataFrame, coll: str, second: str, ordinal: str, key: dict, fields: list
 ) -> DataFrame:

@@ -1,0 +1,149 @@
+"""Folding updates into documents, against applying one event after the other."""
+
+import copy
+import json
+import random
+
+import pytest
+
+from sluice.operators import lookup, patches, quarantine
+from sluice.sources import change_log
+
+
+def event(t, operation, key=1, document=None, update=None, ordinal=0, token=None, **more):
+    line = {
+        "_id": {"_data": token or f"82{t:08X}{ordinal:08X}"}, "operationType": operation, "clusterTime": {"T": t, "I": ordinal},
+        "ns": {"db": "d", "coll": "c"}, "documentKey": {"_id": key}, **more,
+    }
+    if document is not None:
+        line["fullDocument"] = document
+    if update is not None:
+        line["updateDescription"] = {"updatedFields": {}, "removedFields": [], **update}
+    return json.dumps(line)
+
+
+def events(spark, lines):
+    table = spark.createDataFrame([(line,) for line in lines], "value string").repartition(3)
+    return quarantine.valid(quarantine.label(change_log.decode(change_log.parse(table))))
+
+
+def state(spark, lines, until=None):
+    return {json.loads(r["documentKey"])["_id"]: json.loads(r["fullDocument"]) for r in lookup.snapshot(events(spark, lines), until).collect()}
+
+
+def test_updates_without_documents_are_folded(spark):
+    lines = [
+        event(1, "insert", document={"_id": 1, "a": {"b": 1, "c": [1, 2, 3, 4]}, "n": 1.50, "x": "y"}),
+        event(2, "update", update={"updatedFields": {"a.b": {"z": None}, "a.c.1": 9, "new": "é"}, "removedFields": ["x"]}),
+        event(3, "update", update={"truncatedArrays": [{"field": "a.c", "newSize": 2}], "updatedFields": {"a.b.z": [1]}}),
+    ]
+    whole = {"_id": 1, "a": {"b": {"z": [1]}, "c": [1, 9]}, "n": 1.5, "new": "é"}
+    assert state(spark, lines) == {1: whole}
+    assert state(spark, lines, until=2) == {1: {"_id": 1, "a": {"b": {"z": None}, "c": [1, 9, 3, 4]}, "n": 1.5, "new": "é"}}
+    text = lookup.snapshot(events(spark, lines)).first()["fullDocument"]
+    assert text == '{"_id":1,"a":{"b":{"z":[1]},"c":[1,9]},"n":1.5,"new":"é"}'
+
+
+def test_whole_documents_and_deletes_begin_anew(spark):
+    lines = [
+        event(1, "insert", 1, {"_id": 1, "a": 1}), event(2, "update", 1, update={"updatedFields": {"b": 2}}),
+        event(3, "replace", 1, {"_id": 1, "c": 3}), event(4, "update", 1, update={"updatedFields": {"d": 4}}),
+        event(1, "insert", 2, {"_id": 2}), event(2, "update", 2, update={"updatedFields": {"b": 2}}), event(3, "delete", 2),
+        event(1, "delete", 3), event(2, "insert", 3, {"_id": 3, "again": True}),
+        event(2, "update", 4, update={"updatedFields": {"b": 2}}),
+        event(1, "insert", 5, {"_id": 5, "a": 1}), event(2, "update", 5, {"_id": 5, "a": 2, "q": 1}, update={"updatedFields": {"a": 2}}),
+        event(9, "drop", 6).replace(', "documentKey": {"_id": 6}', ""),
+    ]
+    assert state(spark, lines) == {1: {"_id": 1, "c": 3, "d": 4}, 3: {"_id": 3, "again": True}, 5: {"_id": 5, "a": 2, "q": 1}}
+
+
+def test_names_with_dots_and_events_of_one_position(spark):
+    lines = [
+        event(1, "insert", document={"_id": 1, "a.b": 1, "a": {"b": 2}, "list": [{"0": "x"}]}),
+        event(2, "update", update={"updatedFields": {"a.b": 3}, "disambiguatedPaths": {"a.b": ["a.b"]}}, token="82A"),
+        event(2, "update", update={"updatedFields": {"a.b": 4, "list.0.0": "y"}}, token="82B"),
+        event(2, "update", update={"updatedFields": {"t": 1}}, token="82D"),
+        event(2, "update", update={"updatedFields": {"t": 2}}, token="82C"),
+    ]
+    assert state(spark, lines) == {1: {"_id": 1, "a.b": 3, "a": {"b": 4}, "list": [{"0": "y"}], "t": 1}}
+
+
+def random_log(seed, length):
+    """Valid events over one document and the states after each, by plain application."""
+    r, document, out = random.Random(seed), None, []
+    for t in range(1, length):
+        if document is None or r.random() < 0.1:
+            if document is not None and r.random() < 0.4:
+                document, line = None, event(t, "delete")
+            else:
+                document = {"_id": 1, "o": {"p": t, "q": {"r": t}}, "list": list(range(r.randint(0, 6))), "n": t / 4}
+                line = event(t, r.choice(["insert", "replace"]), document=document)
+        else:
+            document = copy.deepcopy(document)
+            update = {"updatedFields": {}, "removedFields": [], "truncatedArrays": []}
+            kind = r.randrange(6)
+            if kind == 0:
+                document["n"] = update["updatedFields"]["n"] = r.choice([t, t / 8, "t", None, {"deep": [t]}])
+            elif kind == 1:
+                document.setdefault("o", {})
+                name = r.choice("pstu")
+                if isinstance(document["o"], dict) and document["o"]:
+                    document["o"][name] = update["updatedFields"][f"o.{name}"] = t
+                else:
+                    document["o"] = update["updatedFields"]["o"] = {name: t}
+            elif kind == 2 and document.get("o"):
+                name = r.choice(list(document["o"]))
+                del document["o"][name]
+                update["removedFields"].append(f"o.{name}")
+            elif kind == 3 and document["list"]:
+                size = r.randrange(len(document["list"]))
+                del document["list"][size:]
+                update["truncatedArrays"].append({"field": "list", "newSize": size})
+                if r.random() < 0.5:
+                    document["list"].append(t)
+                    update["updatedFields"][f"list.{size}"] = t
+            elif kind == 4:
+                update["updatedFields"][f"list.{len(document['list'])}"] = t
+                document["list"].append(t)
+            else:
+                document["o"] = update["updatedFields"]["o"] = {"p": {"x": t}}
+            line = event(t, "update", update=update)
+        out.append((line, copy.deepcopy(document)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_parts_in_any_order_and_twice_fold_to_the_same(spark, seed):
+    log = random_log(seed, 120)
+    r = random.Random(seed)
+    want = {} if log[-1][1] is None else {1: log[-1][1]}
+    lines = [line for line, _ in log]
+    assert state(spark, lines) == want
+    cut = sorted(r.sample(range(120), 2))
+    parts = [lines[: cut[0]], lines[cut[0] : cut[1]], lines[cut[1] :], lines[cut[0] // 2 : cut[1]]]
+    r.shuffle(parts)
+    group = None
+    for part in parts:
+        one = patches.composed(patches.writes(events(spark, part)))
+        group = one if group is None else patches.composed(group, one)
+    found = {json.loads(d["documentKey"])["_id"]: json.loads(d["fullDocument"]) for d in patches.documents(group).collect()}
+    assert found == want
+    some = r.randrange(10, 110)
+    assert state(spark, lines, until=some) == ({} if log[some - 1][1] is None else {1: log[some - 1][1]})
+
+
+def test_a_hot_document_reaches_the_shuffle_as_one_row_per_place(spark):
+    lines = [event(1, "insert", document={"_id": 1, "v": 0})]
+    lines += [event(t, "update", update={"updatedFields": {"v": t}}) for t in range(2, 2000)]
+    found = patches.composed(patches.writes(events(spark, lines)))
+    assert found.count() == 2 and state(spark, lines) == {1: {"_id": 1, "v": 1999}}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
+
+
+def test_numbers_keep_their_digits(spark):
+    big = '{"_id":1,"big":12345678901234567890123456789,"f":0.10,"keep":1.25}'
+    line = event(1, "insert", document={"_id": 1}).replace('"fullDocument": {"_id": 1}', f'"fullDocument": {big}')
+    rows = events(spark, [line, event(2, "update", update={"updatedFields": {"f": 2}})])
+    stored = rows.where("operationType = 'insert'").first()["fullDocument"]
+    assert lookup.snapshot(rows).first()["fullDocument"] == stored.replace('"f":0.1,', '"f":2,')
