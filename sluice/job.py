@@ -18,9 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sluice.operators import audit, lookup, quarantine, retention, routing  # noqa: E402
+from sluice.operators import audit, lookup, retention, routing  # noqa: E402
 from sluice.schema import DESTINATIONS, FILE, WAREHOUSE  # noqa: E402
-from sluice.sources import change_log  # noqa: E402
+from sluice.sources import change_log, log_index  # noqa: E402
 from sluice.streaming import ledger, relay, sinks  # noqa: E402
 
 
@@ -29,6 +29,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--log", required=True, help="folder of change-event lines")
     parser.add_argument("--root", required=True, help="folder of all destinations")
     parser.add_argument("--checkpoint", help="default: <root>/checkpoint")
+    parser.add_argument("--index", help="index of the log's files, which relays of one log may share; default: <root>/log-index")
     parser.add_argument("--destinations", required=True, help=",".join(DESTINATIONS))
     parser.add_argument("--project", help="needed by the hosted destinations")
     parser.add_argument("--db")
@@ -76,8 +77,8 @@ def _route(text: str) -> routing.Route:
     return routing.Route(db, coll, destination, target)
 
 
-def begin_after(spark: SparkSession, options: argparse.Namespace) -> DataFrame | None:
-    """Positions after which a relay without a checkpoint begins."""
+def begin_after(spark: SparkSession, options: argparse.Namespace, index: DataFrame) -> DataFrame | None:
+    """Positions after which a relay without a checkpoint begins. The index of the log's files answers for the log."""
     older = None
     if options.resume_ledger:
         older = ledger.read(spark, options.resume_ledger)
@@ -88,26 +89,19 @@ def begin_after(spark: SparkSession, options: argparse.Namespace) -> DataFrame |
     if older is not None and not options.resume_token:
         return audit.last_position(older)
 
-    lines = change_log.read_lines(spark, options.log)
-    events = quarantine.valid(quarantine.label(change_log.decode(change_log.parse(lines))))
-    if options.db:
-        events = change_log.in_namespace(events, options.db, options.coll)
     if not options.resume_token:
-        return audit.last_position(events)
+        return log_index.positions(index, options.db, options.coll)
     token = options.resume_token.rstrip("\n")
-    for place in (older, events):
-        if place is not None:
-            found = audit.last_position(place.where(F.col("token") == token))
-            if not found.isEmpty():
-                return found
-    raise LookupError(f"the saved token is not in the log: {token!r}")
-
-
-def require_namespace(spark: SparkSession, options: argparse.Namespace) -> None:
-    """At every start, a watched database or collection without any event in the log is an error."""
-    if options.db:
-        lines = change_log.read_lines(spark, options.log)
-        change_log.in_namespace(change_log.decode(change_log.parse(lines)), options.db, options.coll)
+    if older is not None:
+        found = audit.last_position(older.where(F.col("token") == token))
+        if not found.isEmpty():
+            return found
+    found = log_index.position_of(spark, options.log, index, token)
+    if found is not None and options.db:
+        found = change_log.in_namespace(found, options.db, options.coll, must_exist=False)
+    if found is None or found.isEmpty():
+        raise LookupError(f"the saved token is not in the log: {token!r}")
+    return found
 
 
 def current_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,7 +109,11 @@ def current_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder).select(*lookup.KEY, "fullDocument")
 
 
-def configure(spark: SparkSession, options: argparse.Namespace) -> relay.Relay:
+def index_folder(options: argparse.Namespace) -> str:
+    return options.index or f"{options.root}/log-index"
+
+
+def configure(spark: SparkSession, options: argparse.Namespace, index: DataFrame) -> relay.Relay:
     targets = dict(text.split("=", 1) for text in options.target)
     defaults = sinks.SinkOptions(options.root).targets
     return relay.Relay(
@@ -134,12 +132,13 @@ def configure(spark: SparkSession, options: argparse.Namespace) -> relay.Relay:
         ordering_by=options.ordering_by,
         namespace=(options.db, options.coll) if options.db else None,
         positions=ledger.remember_start(
-            spark, f"{options.root}/start", lambda: begin_after(spark, options)
+            spark, f"{options.root}/start", lambda: begin_after(spark, options, index)
         ),
         snapshot=(lambda: current_documents(spark, options.lookup)) if options.lookup else None,
         routes=[_route(text) for text in options.route] or None,
         save_interval=options.save_interval,
         backfill=options.backfill,
+        index=index_folder(options),
     )
 
 
@@ -157,13 +156,18 @@ def expire(spark: SparkSession, configured: relay.Relay, options: argparse.Names
 
 def begin(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
     """Start the relay. Expired days are dropped after every batch, so a stream that never ends keeps its limits."""
-    require_namespace(spark, options)
-    configured = configure(spark, options)
+    # Only files that are not in the index are opened before the stream begins.
+    log_index.refresh(spark, options.log, index_folder(options))
+    index = log_index.in_folder(spark, options.log, index_folder(options))
+    if options.db:
+        log_index.require_namespace(index, options.db, options.coll)
+    configured = configure(spark, options, index)
     configured = dataclasses.replace(
         configured, after_batch=lambda session: expire(session, configured, options)
     )
+    done = log_index.passed(index, configured.positions, configured.namespace)
     lines = change_log.stream_lines(
-        spark, options.log, maxBytesPerTrigger=options.max_bytes_per_trigger
+        spark, options.log, without=done, named=True, maxBytesPerTrigger=options.max_bytes_per_trigger
     )
     trigger = {"processingTime": options.every} if options.every else {"availableNow": True}
     checkpoint = options.checkpoint or f"{options.root}/checkpoint"

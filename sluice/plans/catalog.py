@@ -24,7 +24,7 @@ from sluice.operators import (
     throttle,
 )
 from sluice.schema import DESTINATIONS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
-from sluice.sources import change_log, table_events
+from sluice.sources import change_log, log_index, table_events
 from sluice.streaming import ledger, relay, sinks
 from sluice.workspace import fresh_dir
 
@@ -124,6 +124,20 @@ def start_latest(spark, sf_dir):
     return read.select("token", "T", "I")
 
 
+def indexed_start(spark, sf_dir):
+    """Start after the newest event of each collection in a first part of the log; only files of the second are opened."""
+    folder, index = fresh_dir(spark, "log"), fresh_dir(spark, "log-index")
+    saved = None
+    for part in _arrivals(spark, sf_dir):
+        part.write.mode("append").text(folder)
+        log_index.refresh(spark, folder, index)
+        if saved is None:
+            now = log_index.in_folder(spark, folder, index)
+            saved = ledger.remember_start(spark, fresh_dir(spark, "start"), lambda: log_index.positions(now))
+    lines = log_index.lines_after(spark, folder, log_index.in_folder(spark, folder, index), saved)
+    return ledger.resume_each(_text_events(lines), saved).select("token", "coll", "T", "I")
+
+
 # Projections
 
 
@@ -495,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resume_after_token": resume_after_token,
     "resume_each_collection": resume_each_collection,
     "start_latest": start_latest,
+    "indexed_start": indexed_start,
     "event_header": event_header,
     "cluster_time": cluster_time_query,
     "cluster_time_text": cluster_time_text,

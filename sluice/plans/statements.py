@@ -214,6 +214,12 @@ STATEMENTS: dict[str, str] = {
         'SELECT token, t AS "T", i AS "I" FROM c WHERE seq > (SELECT seq FROM head)',
         _TOKENS_AFTER,
     ),
+    "indexed_start": _over_changes(
+        'SELECT c.token, c.coll, c.t AS "T", c.i AS "I" FROM c '
+        "LEFT JOIN saved ON saved.db = c.db AND saved.coll = c.coll "
+        "WHERE saved.seq IS NULL OR c.seq > saved.seq",
+        f", saved AS (SELECT db, coll, max(seq) AS seq FROM c WHERE t < {RELAY_START} GROUP BY db, coll)",
+    ),
     "event_header": _over_changes('SELECT token, db, coll, op AS "operationType" FROM c'),
     "cluster_time": _over_changes("SELECT token, event_time AS cluster_time FROM c"),
     "cluster_time_text": _over_changes(

@@ -7,7 +7,9 @@ Two stored forms are read:
   where header filters prune partitions and reach the scan.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import cluster_time, envelope, json_text
@@ -17,21 +19,45 @@ EARLIEST = "earliest"
 LATEST = "latest"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+# Names the file of a line where it is known.
+FILE = "file"
+
+
+def file_name() -> Column:
+    """Hash of path, size and modification time, which Spark knows before it opens a file."""
+    return F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
 
 
-def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
+def _chosen(lines: DataFrame, only: Iterable[int] | None, without: Iterable[int], named: bool) -> DataFrame:
+    # Filters on the name alone reach the listing of files.
+    if only is not None:
+        lines = lines.where(file_name().isin(list(only)))
+    if without := list(without):
+        lines = lines.where(~file_name().isin(without))
+    return lines.select("value", file_name().alias(FILE)) if named else lines.select("value")
+
+
+def read_lines(
+    spark: SparkSession, path: str, only: Iterable[int] | None = None, without: Iterable[int] = (), named: bool = False
+) -> DataFrame:
+    """Lines of a folder; of the named files ``only``, or ``without`` them, which are then not opened."""
+    return _chosen(spark.read.text(path), only, without, named)
+
+
+def stream_lines(
+    spark: SparkSession, path: str, without: Iterable[int] = (), named: bool = False, **options
+) -> DataFrame:
     """New files of a folder as they arrive.
 
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds a micro-batch, which is
     how a long backlog is worked off in pieces that fit the cluster. Any other stream
-    with a string column ``value`` can take the place of this one.
+    with a string column ``value`` can take the place of this one. Files named in
+    ``without`` are not opened; ``named`` adds the name of each line's file.
     """
     # Spark skips files much older than the newest one it has seen, a week by default;
     # a change log may not lose any.
     options = {"maxFileAge": "36500d"} | options
-    return spark.readStream.format("text").options(**options).load(path)
+    return _chosen(spark.readStream.format("text").options(**options).load(path), None, without, named)
 
 
 def parse(lines: DataFrame) -> DataFrame:
@@ -44,7 +70,11 @@ def parse(lines: DataFrame) -> DataFrame:
     """
     seal = F.xxhash64("value").cast("string")
     whole = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit(","), seal, F.lit("]")))
-    return lines.select(F.col("value").alias("raw"), whole.alias("line"))
+    return lines.select(F.col("value").alias("raw"), whole.alias("line"), *_file(lines))
+
+
+def _file(rows: DataFrame) -> list[str]:
+    return [FILE] if FILE in rows.columns else []
 
 
 def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
@@ -71,17 +101,18 @@ def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
     if ordering_by:
         header["ordering_key"] = envelope.ordering_key(ordering_by)
     named = [column.alias(name) for name, column in header.items()]
-    extracted = parsed.select("raw", "line", *named)
-    once = extracted.select("raw", "line", F.inline(F.array(F.struct(*header))))
+    file = _file(parsed)
+    extracted = parsed.select("raw", "line", *file, *named)
+    once = extracted.select("raw", "line", *file, F.inline(F.array(F.struct(*header))))
     payloads = [
         json_text.encode(envelope.field(name)).alias(name)
         for name in PAYLOAD_FIELDS
     ]
-    return once.select("raw", *header, *payloads)
+    return once.select("raw", *file, *header, *payloads)
 
 
 def encoded_columns(events: DataFrame) -> list[str]:
-    extra = [c for c in ("ordering_key",) if c in events.columns]
+    extra = [c for c in ("ordering_key", FILE) if c in events.columns]
     return [*ENCODED_EVENT.names, *extra]
 
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.functions import cluster_time
 from sluice.operators import audit, lookup, quarantine, routing
 from sluice.schema import DESTINATIONS, FILE
-from sluice.sources import change_log
+from sluice.sources import change_log, log_index
 from sluice.streaming import ledger
 from sluice.streaming.sinks import SINKS, Sink, SinkOptions, batch_folder, remove, replace_batch
 
@@ -34,6 +34,8 @@ class Relay:
     collection are left out. ``snapshot`` is asked in every batch for the current documents that update events
     are given. ``routes`` send each collection to its own targets; without them every collection goes to the one
     target of each destination. ``save_interval`` throttles the position ledger.
+    ``index`` is the folder of an index of the log's files (``sources.log_index``), to which every batch adds its own; it
+    needs lines that name their file.
     ``backfill`` is for batches that hold many days: see ``by_day``. ``after_batch`` is called when a batch is in all
     destinations and its position is saved, while nothing is being written; it may be called again for a repeated batch.
     """
@@ -50,6 +52,7 @@ class Relay:
     backfill: bool = False
     sinks: dict[str, Sink] | None = None
     after_batch: Callable[[SparkSession], None] | None = None
+    index: str | None = None
 
     def __post_init__(self):
         if self.mode not in (QUARANTINE, STRICT):
@@ -75,13 +78,22 @@ class Relay:
 
 def prepare(relay: Relay, lines: DataFrame) -> DataFrame:
     """Decode, check and complete the lines of a batch: events with a ``reason``."""
+    return watched(relay, checked(relay, lines))
+
+
+def checked(relay: Relay, lines: DataFrame) -> DataFrame:
+    """All lines of a batch as events with a ``reason``."""
     decoded = change_log.decode(change_log.parse(lines), relay.ordering_by)
-    labelled = quarantine.label(
+    return quarantine.label(
         decoded,
         relay.ordering_by,
         payloads=True,
         objects_only=_to_file(relay),
     )
+
+
+def watched(relay: Relay, labelled: DataFrame) -> DataFrame:
+    """The events that this relay watches and has not relayed yet, updates with their document."""
     if relay.namespace is not None:
         # Rows without a readable namespace belong to no collection: they stay, and
         # are quarantined.
@@ -157,11 +169,17 @@ def _forget(relay: Relay, spark: SparkSession, run_id: str, batch_id: int) -> No
 def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> None:
     """Relay one batch of lines. The same run and batch can be relayed again."""
     _forget(relay, lines.sparkSession, run_id, batch_id)
-    labelled = prepare(relay, lines)
+    every_line = checked(relay, lines)
+    if relay.index is not None:
+        # The index is of whole files, also of what this relay leaves out; all lines are kept, so they are parsed once.
+        every_line = every_line.persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = watched(relay, every_line)
     if relay.backfill:
         labelled = by_day(labelled)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if relay.index is not None:
+            replace_batch(log_index.describe(every_line), relay.index, run_id, batch_id, [])
         if relay.mode == STRICT:
             events = quarantine.require_valid(labelled)
         else:
@@ -181,6 +199,7 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
         ledger.save(events, relay.ledger_path, run_id, batch_id, relay.save_interval)
     finally:
         labelled.unpersist()
+        every_line.unpersist()
 
 
 def _deliveries(
