@@ -18,10 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sluice.operators import audit, lookup, retention, routing  # noqa: E402
+from sluice.operators import audit, lookup, quarantine, retention, routing  # noqa: E402
 from sluice.schema import DESTINATIONS, FILE, WAREHOUSE  # noqa: E402
 from sluice.sources import change_log, log_index  # noqa: E402
-from sluice.streaming import ledger, relay, sinks  # noqa: E402
+from sluice.streaming import ledger, manifest, relay, sinks, state  # noqa: E402
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -46,6 +46,10 @@ def arguments(argv: list[str]) -> argparse.Namespace:
         metavar="FOLDER",
         help="table of current documents (db, coll, documentKey, fullDocument) that update events are given",
     )
+    parser.add_argument(
+        "--keep-documents", action="store_true", help="update events are given documents that the relay keeps itself"
+    )
+    parser.add_argument("--buckets", type=int, default=state.BUCKETS, help="parts of the kept documents")
     parser.add_argument("--save-interval", type=int, help="seconds")
     parser.add_argument("--target", action="append", default=[], metavar="DESTINATION=NAME")
     parser.add_argument(
@@ -67,6 +71,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
         parser.error("--resume-token needs --db and --coll")
     if parsed.coll and not parsed.db:
         parser.error("--coll needs --db")
+    if parsed.lookup and parsed.keep_documents:
+        parser.error("--lookup and --keep-documents exclude each other")
     return parsed
 
 
@@ -139,6 +145,7 @@ def configure(spark: SparkSession, options: argparse.Namespace, index: DataFrame
         save_interval=options.save_interval,
         backfill=options.backfill,
         index=index_folder(options),
+        documents=state.Documents(f"{options.root}/documents", options.buckets) if options.keep_documents else None,
     )
 
 
@@ -154,6 +161,18 @@ def expire(spark: SparkSession, configured: relay.Relay, options: argparse.Names
             retention.drop_expired(spark, folder, today, options.expire_days, newest)
 
 
+def build_documents(spark: SparkSession, configured: relay.Relay, options: argparse.Namespace) -> None:
+    """Documents of the log so far, once, for a relay that begins behind its first event."""
+    kept = configured.documents
+    if kept is None or manifest.current(spark, kept.path).number or configured.positions.isEmpty():
+        return
+    lines = change_log.read_lines(spark, options.log)
+    events = quarantine.valid(log_index.labelled_headers(lines))
+    if configured.namespace is not None:
+        events = change_log.in_namespace(events, *configured.namespace, must_exist=False)
+    state.advance(spark, kept, events)
+
+
 def begin(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
     """Start the relay. Expired days are dropped after every batch, so a stream that never ends keeps its limits."""
     # Only files that are not in the index are opened before the stream begins.
@@ -165,6 +184,7 @@ def begin(spark: SparkSession, options: argparse.Namespace) -> StreamingQuery:
     configured = dataclasses.replace(
         configured, after_batch=lambda session: expire(session, configured, options)
     )
+    build_documents(spark, configured, options)
     done = log_index.passed(index, configured.positions, configured.namespace)
     lines = change_log.stream_lines(
         spark, options.log, without=done, named=True, maxBytesPerTrigger=options.max_bytes_per_trigger

@@ -25,7 +25,7 @@ from sluice.operators import (
 )
 from sluice.schema import DESTINATIONS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
 from sluice.sources import change_log, log_index, table_events
-from sluice.streaming import ledger, relay, sinks
+from sluice.streaming import ledger, relay, sinks, state
 from sluice.workspace import fresh_dir
 
 # Parameters of the registered queries; the SQL twins state the same values.
@@ -361,17 +361,17 @@ def route_by_collection(spark, sf_dir):
 # Streaming
 
 
-def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _arrivals(spark: SparkSession, sf_dir: str, lines=table_events.event_lines) -> list[DataFrame]:
     """The log in the parts in which it arrives, oldest first."""
     _pin(spark)
     bounds = [None, *ARRIVALS, None]
     return [
-        table_events.event_lines(spark, sf_dir, since, before)
+        lines(spark, sf_dir, since, before)
         for since, before in zip(bounds, bounds[1:])
     ]
 
 
-def _relay_all(spark, sf_dir, configured, survive=None) -> None:
+def _relay_all(spark, sf_dir, configured, survive=None, lines=table_events.event_lines) -> None:
     """Let the log grow part by part, and relay what is new after each part.
 
     Every round continues from the checkpoint of the one before. A round that ends
@@ -383,7 +383,7 @@ def _relay_all(spark, sf_dir, configured, survive=None) -> None:
         lines = change_log.stream_lines(spark, f"{root}/log")
         relay.start(configured, lines, f"{root}/checkpoint").awaitTermination()
 
-    for part in _arrivals(spark, sf_dir):
+    for part in _arrivals(spark, sf_dir, lines):
         part.write.mode("append").text(f"{root}/log")
         try:
             run()
@@ -451,6 +451,16 @@ def replay_idempotent(spark, sf_dir):
     return _delivered(spark, options)
 
 
+def lookup_relay(spark, sf_dir):
+    """Updates get documents that the relay keeps itself, from a log whose updates carry none."""
+    root = fresh_dir(spark, "relay")
+    kept = state.Documents(f"{root}/documents", buckets=8)
+    configured = relay.Relay([WAREHOUSE], sinks.SinkOptions(root), backfill=True, documents=kept)
+    _relay_all(spark, sf_dir, configured, lines=table_events.patch_lines)
+    stored = _read_table(spark, configured.options.path(WAREHOUSE))
+    return stored.select("id", "operationType", "fullDocument")
+
+
 def position_ledger(spark, sf_dir):
     """The newest position that the relay's ledger holds for each collection."""
     configured = _relayed(spark, sf_dir, [WAREHOUSE])
@@ -544,6 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_by_collection": route_by_collection,
     "fan_out": fan_out,
     "replay_idempotent": replay_idempotent,
+    "lookup_relay": lookup_relay,
     "position_ledger": position_ledger,
     "throttled_ledger": throttled_ledger,
     "throttled_ledger_stream": throttled_ledger_stream,

@@ -121,34 +121,36 @@ state AS (SELECT db, coll, doc_key, doc FROM newest WHERE op <> 'delete')"""
 
 # Documents after the last event of each key, where updates only say what they changed: clicks set
 # ``value`` and ``props.last``, views set ``props.seen``, remove ``props.last`` and cut ``recent`` to one.
-_FOLDED = """,
-p AS (
+def _folded(state: str, where: str = "") -> str:
+    return f""",
+p_{state} AS (
   SELECT db, coll, '{{"_id":' || user_id || '}}' AS doc_key, user_id, event_type, num, i, t,
          (t - 2147483648) * 4294967296 + i AS seq, op, rtrim(props, '}}') AS props
   FROM raw {where}
 ),
-base AS (
+base_{state} AS (
   SELECT db, coll, doc_key, any_value(user_id) AS user_id, max(seq) AS seq, arg_max(op, seq) AS op,
          arg_max(event_type, seq) AS event_type, arg_max(num, seq) AS num, arg_max(props, seq) AS props, arg_max(i, seq) AS i
-  FROM p WHERE event_type IN ('signup', 'purchase', 'error') GROUP BY db, coll, doc_key
+  FROM p_{state} WHERE event_type IN ('signup', 'purchase', 'error') GROUP BY db, coll, doc_key
 ),
-later AS (
+later_{state} AS (
   SELECT p.db, p.coll, p.doc_key, arg_max(p.num, p.seq) FILTER (p.event_type = 'click') AS num,
          arg_max(p.i, p.seq) FILTER (p.event_type = 'click') AS clicked, max(p.seq) FILTER (p.event_type = 'click') AS click_seq,
          arg_max(p.i, p.seq) FILTER (p.event_type = 'view') AS seen, max(p.seq) FILTER (p.event_type = 'view') AS view_seq
-  FROM p JOIN base b ON b.db = p.db AND b.coll = p.coll AND b.doc_key = p.doc_key
+  FROM p_{state} p JOIN base_{state} b ON b.db = p.db AND b.coll = p.coll AND b.doc_key = p.doc_key
   WHERE p.op = 'update' AND p.seq > b.seq GROUP BY p.db, p.coll, p.doc_key
 ),
-state AS (
+{state} AS (
   SELECT b.db, b.coll, b.doc_key,
          '{{"_id":' || b.user_id || ',"event_type":"' || b.event_type || '","props":' || b.props
          || CASE WHEN l.clicked IS NOT NULL AND (l.view_seq IS NULL OR l.view_seq < l.click_seq) THEN ',"last":' || l.clicked ELSE '' END
          || CASE WHEN l.seen IS NOT NULL THEN ',"seen":' || l.seen ELSE '' END || '}},"recent":[' || b.i
          || CASE WHEN l.seen IS NULL THEN ',' || (b.i + 1) || ',' || (b.i + 2) ELSE '' END
          || '],"value":' || coalesce(l.num, b.num) || '}}' AS doc
-  FROM base b LEFT JOIN later l ON l.db = b.db AND l.coll = b.coll AND l.doc_key = b.doc_key WHERE b.op <> 'delete'
+  FROM base_{state} b LEFT JOIN later_{state} l ON l.db = b.db AND l.coll = b.coll AND l.doc_key = b.doc_key WHERE b.op <> 'delete'
 )"""
 
+
 _SAVES = f""",
 seconds AS (
   SELECT db, coll, t, arg_min(token, i) AS token, min(i) AS i FROM c GROUP BY db, coll, t
@@ -288,7 +290,18 @@ STATEMENTS: dict[str, str] = {
     ),
     "state_from_updates": _over_changes(
         'SELECT db, coll, doc_key AS "documentKey", doc AS "fullDocument" FROM state',
-        _FOLDED.format(where=""),
+        _folded("state"),
+    ),
+    "lookup_relay": _over_changes(
+        """SELECT p.id, p.op AS "operationType", CASE p.op WHEN 'delete' THEN 'null'
+             WHEN 'update' THEN coalesce(CASE WHEN p.t < {start} THEN early.doc ELSE late.doc END, 'null')
+             ELSE '{{"_id":' || p.user_id || ',"event_type":"' || p.event_type || '","props":' || p.props || ',"recent":['
+               || p.i || ',' || (p.i + 1) || ',' || (p.i + 2) || '],"value":' || p.num || '}}' END AS "fullDocument"
+           FROM (SELECT raw.*, '{{"_id":' || user_id || '}}' AS doc_key,
+                   '{{"_data":"82' || printf('%08X', t) || printf('%08X', i) || '"}}' AS id FROM raw) p
+           LEFT JOIN early ON early.db = p.db AND early.coll = p.coll AND early.doc_key = p.doc_key
+           LEFT JOIN late ON late.db = p.db AND late.coll = p.coll AND late.doc_key = p.doc_key""".format(start=RELAY_START),
+        _folded("early", f"WHERE t < {RELAY_START}") + _folded("late"),
     ),
     "relay_audit": _over_changes(
         'SELECT db, coll, op AS "operationType", count(*) AS events, max(event_time) AS last_time '

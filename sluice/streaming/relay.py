@@ -18,7 +18,7 @@ from sluice.functions import cluster_time
 from sluice.operators import audit, lookup, quarantine, routing
 from sluice.schema import DESTINATIONS, FILE
 from sluice.sources import change_log, log_index
-from sluice.streaming import ledger
+from sluice.streaming import ledger, state
 from sluice.streaming.sinks import SINKS, Sink, SinkOptions, batch_folder, remove, replace_batch
 
 QUARANTINE = "quarantine"
@@ -32,7 +32,7 @@ class Relay:
     ``namespace`` (db, and a collection or None) limits what is watched. ``positions``
     are positions that an earlier run has saved: events up to the one of their
     collection are left out. ``snapshot`` is asked in every batch for the current documents that update events
-    are given. ``routes`` send each collection to its own targets; without them every collection goes to the one
+    are given; ``documents`` are kept by the relay itself for the same purpose, from the changes it watches. ``routes`` send each collection to its own targets; without them every collection goes to the one
     target of each destination. ``save_interval`` throttles the position ledger.
     ``index`` is the folder of an index of the log's files (``sources.log_index``), to which every batch adds its own; it
     needs lines that name their file.
@@ -53,11 +53,14 @@ class Relay:
     sinks: dict[str, Sink] | None = None
     after_batch: Callable[[SparkSession], None] | None = None
     index: str | None = None
+    documents: state.Documents | None = None
 
     def __post_init__(self):
         if self.mode not in (QUARANTINE, STRICT):
             raise ValueError(f"unknown mode {self.mode!r}")
         routing.parse_destinations(",".join(self.destinations), project="checked before")
+        if self.documents is not None and self.snapshot is not None:
+            raise ValueError("documents come from the relay's own table or from another one, not from both")
         if self.routes is not None:
             for r in routing.check_routes(self.routes):
                 if r.destination not in self.destinations:
@@ -78,7 +81,7 @@ class Relay:
 
 def prepare(relay: Relay, lines: DataFrame) -> DataFrame:
     """Decode, check and complete the lines of a batch: events with a ``reason``."""
-    return watched(relay, checked(relay, lines))
+    return completed(relay, watched(relay, checked(relay, lines)))
 
 
 def checked(relay: Relay, lines: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def checked(relay: Relay, lines: DataFrame) -> DataFrame:
 
 
 def watched(relay: Relay, labelled: DataFrame) -> DataFrame:
-    """The events that this relay watches and has not relayed yet, updates with their document."""
+    """The events that this relay watches and has not relayed yet."""
     if relay.namespace is not None:
         # Rows without a readable namespace belong to no collection: they stay, and
         # are quarantined.
@@ -104,6 +107,15 @@ def watched(relay: Relay, labelled: DataFrame) -> DataFrame:
         labelled = labelled.where(F.coalesce(watched, F.lit(True)))
     if relay.positions is not None:
         labelled = ledger.resume_each(labelled, relay.positions)
+    return labelled
+
+
+def completed(relay: Relay, labelled: DataFrame) -> DataFrame:
+    """Update events with the current document of their key."""
+    spark = labelled.sparkSession
+    if relay.documents is not None:
+        touched = state.advance(spark, relay.documents, quarantine.valid(labelled))
+        labelled = state.attach(spark, relay.documents, labelled, touched)
     if relay.snapshot is not None:
         labelled = lookup.attach_documents(labelled, relay.snapshot())
     return labelled
@@ -170,10 +182,11 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
     """Relay one batch of lines. The same run and batch can be relayed again."""
     _forget(relay, lines.sparkSession, run_id, batch_id)
     every_line = checked(relay, lines)
-    if relay.index is not None:
-        # The index is of whole files, also of what this relay leaves out; all lines are kept, so they are parsed once.
+    if relay.index is not None or relay.documents is not None:
+        # The index is of whole files, also of what this relay leaves out, and documents are read before they are
+        # attached; all lines are kept, so they are parsed once.
         every_line = every_line.persist(StorageLevel.MEMORY_AND_DISK)
-    labelled = watched(relay, every_line)
+    labelled = completed(relay, watched(relay, every_line))
     if relay.backfill:
         labelled = by_day(labelled)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
