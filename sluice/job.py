@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from sluice.operators import audit, lookup, quarantine, retention, routing  # noqa: E402
 from sluice.schema import DESTINATIONS, FILE, WAREHOUSE  # noqa: E402
 from sluice.sources import change_log, log_index  # noqa: E402
-from sluice.streaming import ledger, manifest, relay, sinks, state  # noqa: E402
+from sluice.streaming import compaction, ledger, manifest, relay, sinks, state  # noqa: E402
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -63,6 +63,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--max-megabytes", type=int)
     parser.add_argument("--expire-days", type=int, help="keep this many days")
     parser.add_argument("--expire-backups", type=int, help="keep this many newest days")
+    parser.add_argument("--compact-days", type=int, help="days older than this many are closed: their folders become one each")
     parser.add_argument("--max-bytes-per-trigger", type=int, default=64 * 2**30)
     parser.add_argument("--backfill", action="store_true", help="batches hold many days")
     parser.add_argument("--every", help="trigger interval; default: all there is, then stop")
@@ -73,6 +74,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
         parser.error("--coll needs --db")
     if parsed.lookup and parsed.keep_documents:
         parser.error("--lookup and --keep-documents exclude each other")
+    if parsed.compact_days is not None and parsed.expire_backups:
+        parser.error("--expire-backups counts the folders of days, which --compact-days takes away")
     return parsed
 
 
@@ -145,20 +148,28 @@ def configure(spark: SparkSession, options: argparse.Namespace, index: DataFrame
         save_interval=options.save_interval,
         backfill=options.backfill,
         index=index_folder(options),
+        compact_before=(lambda: today() - dt.timedelta(days=options.compact_days)) if options.compact_days is not None else None,
         documents=state.Documents(f"{options.root}/documents", options.buckets) if options.keep_documents else None,
     )
 
 
+def today() -> dt.date:
+    return dt.datetime.now(dt.timezone.utc).date()
+
+
 def expire(spark: SparkSession, configured: relay.Relay, options: argparse.Namespace) -> None:
     """Apply the retention limits to the tables of the day-partitioned destinations."""
     if not (options.expire_days or options.expire_backups):
         return
-    today = dt.datetime.now(dt.timezone.utc).date()
     for destination in {WAREHOUSE, FILE} & set(configured.destinations):
         # The count limit is the file destination's own, as it has backups.
         newest = options.expire_backups if destination == FILE else None
         for folder in retention.folders(spark, configured.options.path(destination)):
-            retention.drop_expired(spark, folder, today, options.expire_days, newest)
+            retention.drop_expired(spark, folder, today(), options.expire_days, newest)
+    if options.expire_days and configured.compact_before is not None:
+        for table in relay.tables(configured):
+            if table.target is not None:
+                compaction.drop_expired(spark, table, retention.first_kept_day(today(), options.expire_days))
 
 
 def build_documents(spark: SparkSession, configured: relay.Relay, options: argparse.Namespace) -> None:

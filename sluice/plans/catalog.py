@@ -25,7 +25,7 @@ from sluice.operators import (
 )
 from sluice.schema import DESTINATIONS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
 from sluice.sources import change_log, log_index, table_events
-from sluice.streaming import ledger, relay, sinks, state
+from sluice.streaming import compaction, ledger, relay, sinks, state
 from sluice.workspace import fresh_dir
 
 # Parameters of the registered queries; the SQL twins state the same values.
@@ -371,7 +371,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, lines=table_events.event_lines)
     ]
 
 
-def _relay_all(spark, sf_dir, configured, survive=None, lines=table_events.event_lines) -> None:
+def _relay_all(spark, sf_dir, configured, survive=None, lines=table_events.event_lines, after=None) -> None:
     """Let the log grow part by part, and relay what is new after each part.
 
     Every round continues from the checkpoint of the one before. A round that ends
@@ -391,6 +391,8 @@ def _relay_all(spark, sf_dir, configured, survive=None, lines=table_events.event
             if survive is None or survive not in str(failure):
                 raise
             run()
+        if after is not None:
+            after()
 
 
 def _relayed(spark, sf_dir, destinations=DESTINATIONS, **settings) -> relay.Relay:
@@ -451,6 +453,15 @@ def replay_idempotent(spark, sf_dir):
     return _delivered(spark, options)
 
 
+def compacted_sink(spark, sf_dir):
+    """The warehouse table of a relay whose closed days are compacted after each arrival, read through its manifest."""
+    options = sinks.SinkOptions(fresh_dir(spark, "relay"))
+    configured = relay.Relay([WAREHOUSE], options, backfill=True, compact_before=lambda: RETENTION_AS_OF)
+    _relay_all(spark, sf_dir, configured, after=lambda: relay.compact(configured, spark, "none", 0, least=1))
+    stored = compaction.read(spark, relay.tables(configured)[0])
+    return stored.select("id", "operationType", "clusterTime", "table", _day_text())
+
+
 def lookup_relay(spark, sf_dir):
     """Updates get documents that the relay keeps itself, from a log whose updates carry none."""
     root = fresh_dir(spark, "relay")
@@ -555,6 +566,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fan_out": fan_out,
     "replay_idempotent": replay_idempotent,
     "lookup_relay": lookup_relay,
+    "compacted_sink": compacted_sink,
     "position_ledger": position_ledger,
     "throttled_ledger": throttled_ledger,
     "throttled_ledger_stream": throttled_ledger_stream,

@@ -315,6 +315,10 @@ STATEMENTS: dict[str, str] = {
         'SELECT id, op AS "operationType", event_time AS "clusterTime", \'changes\' AS "table", '
         "CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date, CAST(0 AS BIGINT) AS batch_id FROM c"
     ),
+    "compacted_sink": _over_changes(
+        'SELECT id, op AS "operationType", event_time AS "clusterTime", \'changes\' AS "table", '
+        "CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date FROM c"
+    ),
     "topic_sink": _over_changes(
         "SELECT 'changes' AS topic, doc_key AS ordering_key, seq AS sequence, "
         f"{_RECORD} AS value FROM c"

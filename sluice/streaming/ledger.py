@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from sluice.functions import cluster_time
 from sluice.operators import audit, throttle
 from sluice.schema import POSITION
-from sluice.streaming.sinks import replace_batch
+from sluice.streaming import compaction
+from sluice.streaming.sinks import remove, replace_batch
 
 _LEDGER_SCHEMA = T.StructType(
     [
@@ -37,7 +38,18 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
     """
     if not exists(spark, path):
         return None
-    return spark.read.schema(_LEDGER_SCHEMA).parquet(path)
+    return compaction.read(spark, table(path)).select(*_LEDGER_SCHEMA.names)
+
+
+def table(path: str) -> compaction.Table:
+    """The ledger as a table whose older batches fold into the newest position of each collection."""
+    return compaction.Table(path, POSITION, fold=_newest)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    order = F.struct(cluster_time.sequence(F.col("T"), F.col("I")), "batch_id")
+    whole = F.struct(*rows.columns)
+    return rows.groupBy("db", "coll").agg(F.max_by(whole, order).alias("last")).select("last.*")
 
 
 def append(positions: DataFrame, path: str, run_id: str, batch_id: int) -> None:
@@ -85,6 +97,8 @@ def save(
     audit.last_position(state).write.mode("overwrite").parquet(
         _state_path(path, run_id, batch_id)
     )
+    # A repeated batch needs the state before it; those before that are done with.
+    remove(spark, _state_path(path, run_id, batch_id - 2))
 
 
 def remember_start(

@@ -19,11 +19,6 @@ def _system(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _found(spark: SparkSession, pattern: str) -> list[str]:
-    place, system = _system(spark, pattern)
-    return [status.getPath().getName() for status in system.globStatus(place) or []]
-
-
 def _finished(spark: SparkSession, path: str) -> list[int]:
     """Whole versions, oldest first."""
     place, system = _system(spark, f"{path}/versions/*/_SUCCESS")
@@ -64,25 +59,33 @@ def new_folder() -> str:
     return f"data/{uuid.uuid4().hex}"
 
 
-def swap(spark: SparkSession, before: Version, parts: dict[str, list[str]]) -> Version:
-    """Make ``parts`` the content, in place of ``before``. One writer at a time."""
+def swap(spark: SparkSession, before: Version, parts: dict[str, list[str]], depth: int = 1) -> Version:
+    """Make ``parts`` the content, in place of ``before``. One writer at a time.
+
+    Folders of content lie ``depth`` levels below the folder ``data``.
+    """
     number = before.number + 1
     rows = [(part, folder) for part, folders in parts.items() for folder in folders]
     # A version that an earlier writer began and did not finish is written over.
     spark.createDataFrame(rows, "part string, folder string").coalesce(1).write.mode("overwrite").parquet(f"{before.path}/versions/v{number}")
-    sweep(spark, before.path)
+    sweep(spark, before.path, depth)
     return Version(before.path, number, parts)
 
 
-def sweep(spark: SparkSession, path: str) -> None:
+def sweep(spark: SparkSession, path: str, depth: int = 1) -> None:
     """Remove versions but the last two, and the folders that these do not name."""
     numbers = _finished(spark, path)
     kept = numbers[-KEPT:]
-    named = {folder.split("/")[1] for n in kept for folders in _read(spark, path, n).values() for folder in folders if folder.startswith("data/")}
-    for name in _found(spark, f"{path}/data/*"):
-        if name not in named:
-            place, system = _system(spark, f"{path}/data/{name}")
-            system.delete(place, True)
+    named = {folder for n in kept for folders in _read(spark, path, n).values() for folder in folders}
+    place, system = _system(spark, f"{path}/data" + "/*" * depth)
+    for status in system.globStatus(place) or []:
+        found = status.getPath()
+        if "/".join(found.toUri().getPath().split("/")[-depth - 1 :]) not in named:
+            system.delete(found, True)
+            parent = found.getParent()
+            while parent.getName() != "data" and not system.listStatus(parent):
+                system.delete(parent, False)
+                parent = parent.getParent()
     for n in numbers[:-KEPT]:
         place, system = _system(spark, f"{path}/versions/v{n}")
         system.delete(place, True)

@@ -5,6 +5,7 @@ the same time, and committed when the last one has finished. A failure anywhere
 raises, the batch is not committed, and it is written again on restart.
 """
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -12,14 +13,21 @@ from dataclasses import dataclass
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions import cluster_time
 from sluice.operators import audit, lookup, quarantine, routing
 from sluice.schema import DESTINATIONS, FILE
 from sluice.sources import change_log, log_index
-from sluice.streaming import ledger, state
-from sluice.streaming.sinks import SINKS, Sink, SinkOptions, batch_folder, remove, replace_batch
+from sluice.streaming import compaction, ledger, state
+from sluice.streaming.sinks import SINKS, STORED, Sink, SinkOptions, batch_folder, remove, replace_batch
+
+# What the audit holds of every batch.
+AUDIT = (
+    T.StructType().add("db", "string").add("coll", "string").add("operationType", "string").add("events", "long").add("last_time", "timestamp")
+)
+COMPACT_EVERY = 8
 
 QUARANTINE = "quarantine"
 STRICT = "strict"
@@ -36,6 +44,7 @@ class Relay:
     target of each destination. ``save_interval`` throttles the position ledger.
     ``index`` is the folder of an index of the log's files (``sources.log_index``), to which every batch adds its own; it
     needs lines that name their file.
+    ``compact_before`` says which days are closed: every ``COMPACT_EVERY`` batches their folders become one each.
     ``backfill`` is for batches that hold many days: see ``by_day``. ``after_batch`` is called when a batch is in all
     destinations and its position is saved, while nothing is being written; it may be called again for a repeated batch.
     """
@@ -54,6 +63,7 @@ class Relay:
     after_batch: Callable[[SparkSession], None] | None = None
     index: str | None = None
     documents: state.Documents | None = None
+    compact_before: Callable[[], dt.date] | None = None
 
     def __post_init__(self):
         if self.mode not in (QUARANTINE, STRICT):
@@ -121,6 +131,31 @@ def completed(relay: Relay, labelled: DataFrame) -> DataFrame:
     return labelled
 
 
+def tables(relay: Relay) -> list[compaction.Table]:
+    """The destinations' tables, the ledger and the audit."""
+    found = []
+    for name in relay.destinations:
+        columns, target = STORED[name]
+        found.append(compaction.Table(relay.options.path(name), columns, target, compaction.TEXT if name == FILE else compaction.PARQUET))
+    return [*found, ledger.table(relay.ledger_path), compaction.Table(relay.audit_path, AUDIT, fold=_summed)]
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    """Counts of many batches as one row for each collection and operation, under the newest batch."""
+    return rows.groupBy("db", "coll", "operationType").agg(
+        F.sum("events").alias("events"),
+        F.max("last_time").alias("last_time"),
+        F.max_by("run_id", "last_time").alias("run_id"),
+        F.max("batch_id").alias("batch_id"),
+    )
+
+
+def compact(relay: Relay, spark: SparkSession, run_id: str, batch_id: int, least: int = compaction.LEAST) -> None:
+    """Make the tables of closed days small again; the batch just written may be repeated and stays as it is."""
+    for table in tables(relay):
+        compaction.compact(spark, table, relay.compact_before(), (run_id, batch_id), least)
+
+
 def _to_file(relay: Relay) -> Column | bool:
     """Which events the file destination gets; only its documents must hold objects."""
     if FILE not in relay.destinations or relay.routes is None:
@@ -248,6 +283,8 @@ def start(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         relay_batch(relay, batch, run_id, batch_id)
+        if relay.compact_before is not None and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            compact(relay, batch.sparkSession, run_id, batch_id)
         if relay.after_batch is not None:
             relay.after_batch(batch.sparkSession)
 

@@ -17,9 +17,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions import cluster_time, shapes
-from sluice.schema import BATCH_COLUMNS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
+from sluice.schema import BATCH_COLUMNS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE, WAREHOUSE_ROW
 
 MEGABYTE = 1024 * 1024
 
@@ -181,6 +182,15 @@ def _write_lines(rows: DataFrame, options: SinkOptions, run_id: str, batch_id: i
     )
 
 
+# What the files of each destination hold, and the column of its targets.
+STORED = {
+    WAREHOUSE: (WAREHOUSE_ROW, "table"),
+    TOPIC: (T.StructType().add("ordering_key", "string").add("sequence", "long").add("value", "string"), "topic"),
+    KEYED_STREAM: (T.StructType().add("partition_key", "string").add("value", "string"), "stream"),
+    FILE: (T.StructType().add("value", "string"), "log"),
+}
+
+
 @dataclass(frozen=True)
 class Sink:
     """A destination: how rows look, and how the rows of one batch are written."""

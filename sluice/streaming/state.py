@@ -55,7 +55,7 @@ def advance(spark: SparkSession, kept: Documents, events: DataFrame) -> list[int
         whole.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{kept.path}/{folder}")
         # What is composed of something has something in it: every touched bucket has a folder.
         parts = before.parts | {str(b): [f"{folder}/bucket={b}"] for b in touched}
-        manifest.swap(spark, before, parts)
+        manifest.swap(spark, before, parts, depth=2)
         return touched
     finally:
         new.unpersist()
