@@ -23,24 +23,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sluice.llm import common, flat
 
-STARS, TREES = 6, 3
-#: Cells of a sketch for each n-gram. More would pass fewer pairs below the bound, but every row of a block carries its sketch.
-CELLS = 2
+STARS = 6
+#: Cells of the table of n-gram frequencies, a byte each.
+FREQUENCIES = 1 << 20
+#: Cells of a sketch for each n-gram, in the first rounds and in the last one, which has few rows left. More cells pass fewer
+#: pairs below the bound, but every row of a block carries its sketch.
+CELLS, FINE = 2, 16
 #: Postings that a task gathers before it sends them, members of one block of a large bucket, bytes of input a block.
 POSTINGS, MEMBERS, BLOCK_BYTES = 1_500_000, 4096, 8 << 20
 
 INCIDENCE = pa.schema(
-    [("kind", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()),
+    [("kind", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("name", pa.int64()), ("key", pa.int64()), ("n", pa.int64()),
      ("shared", pa.int64()), ("grams", pa.binary()), ("owners", pa.binary()), ("counts", pa.binary())]
 )
-INCIDENCE_DDL = "kind int, block int, doc_id bigint, key bigint, n bigint, shared bigint, grams binary, owners binary, counts binary"
+INCIDENCE_DDL = "kind int, block int, doc_id bigint, name bigint, key bigint, n bigint, shared bigint, grams binary, owners binary, counts binary"
 DOC, POSTED, REPEATED, SHARED = 0, 1, 2, 3
-COUNTED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64())])
-COUNTED_DDL = "kind int, doc_id bigint, key bigint, n bigint, shared bigint"
+COUNTED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("name", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("shared", pa.int64())])
+COUNTED_DDL = "kind int, doc_id bigint, name bigint, key bigint, n bigint, shared bigint"
 
 
 def set_keys(grams: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -108,11 +110,11 @@ def incidence(width: int, blocks: int):
         held, postings = [], 0
         for batch in batches:
             data, at = flat.buffers(batch.column("text"))
-            ids = batch.column("doc_id")
+            ids, names = batch.column("doc_id"), batch.column("name")
             for a, b in flat.slices(at):
                 grams, begin = flat.shingles(data[at[a] : at[b]], at[a : b + 1] - at[a], width)
                 keys, sizes = set_keys(grams, begin), np.diff(begin)
-                yield rows(DOC, b - a, block=(keys % np.uint64(blocks)).astype(np.int32), doc_id=ids[a:b], key=keys.view(np.int64), n=sizes)
+                yield rows(DOC, b - a, block=(keys % np.uint64(blocks)).astype(np.int32), doc_id=ids[a:b], name=names[a:b], key=keys.view(np.int64), n=sizes)
                 full = sizes > 0
                 held.append((keys[full], sizes[full], grams))
                 postings += len(grams)
@@ -152,7 +154,8 @@ def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if often:
                 more |= np.isin(gram[starts], np.concatenate(often))
             keys, shared = np.unique(key[np.repeat(more, size)], return_counts=True)
-            yield common.record(COUNTED, kind=[SHARED] * len(keys), doc_id=[None] * len(keys), key=keys.view(np.int64), n=[None] * len(keys), shared=shared)
+            none = [None] * len(keys)
+            yield common.record(COUNTED, kind=[SHARED] * len(keys), doc_id=none, name=none, key=keys.view(np.int64), n=none, shared=shared)
         held.clear()
         often.clear()
 
@@ -206,15 +209,51 @@ def min_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield common.record(MARKS, mark=np.array(marks, np.uint64).view(np.int64), key=[keys[i]] * STARS, n=[sizes[i]] * STARS)
 
 
-def prefix_rows(percent: int):
-    """The n-grams of which two similar sets share one: the first n - ceil(t n) + 1 in hash order."""
+def cell_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(17)).astype(np.int64) % FREQUENCIES
+
+
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """How many sets hold the n-grams of each of `FREQUENCIES` cells, as powers of two: one byte a cell, at any size of the corpus."""
+    width = 1 << 12
+    schema = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(FREQUENCIES, np.int64)
+        for batch in batches:
+            for raw in batch.column("grams"):
+                np.add.at(total, cell_of(np.frombuffer(raw.as_buffer(), np.uint64)), 1)
+        parts = total.reshape(-1, width)
+        some = np.flatnonzero(parts.any(1))
+        yield common.record(schema, part=some.astype(np.int32), counts=[parts[i].tobytes() for i in some])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(raw.as_buffer(), np.int64)
+        yield common.record(schema, part=np.array(list(total), np.int32), counts=[np.ceil(np.log2(c + 1)).astype(np.uint8).tobytes() for c in total.values()])
+
+    counted = sets.select("grams").mapInArrow(count, "part int, counts binary").repartition("part").mapInArrow(add, "part int, counts binary")
+    out = np.zeros((FREQUENCIES // width, width), np.uint8)
+    for row in counted.collect():
+        out[row["part"]] = np.frombuffer(row["counts"], np.uint8)
+    return out.ravel()
+
+
+def prefix_rows(percent: int, often: np.ndarray):
+    """The n-grams of which two similar sets share one: the first n - ceil(t n) + 1, rare ones first.
+
+    The order is the same for all sets, which is all that the bound needs; that it begins with rare n-grams keeps blocks small.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes = batch.column("key").to_numpy(), batch.column("n").to_numpy()
             for i, raw in enumerate(batch.column("grams")):
                 grams, n = np.frombuffer(raw.as_buffer(), np.uint64), int(sizes[i])
-                first = grams[: n - -(-n * percent // 100) + 1].view(np.int64)
+                # Sets are in the order of their hashes, which decides between equally frequent ones.
+                first = grams[np.argsort(often[cell_of(grams)], kind="stable")[: n - -(-n * percent // 100) + 1]].view(np.int64)
                 yield common.record(MARKS, mark=first, key=np.full(len(first), keys[i]), n=np.full(len(first), n))
 
     return work
@@ -240,22 +279,26 @@ def sketches(each: int):
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: What a block gives: pairs, or (n-gram, set) of those that are not connected with all sets they may be similar to.
+FOUND = pa.schema([("open", pa.bool_()), ("a", pa.int64()), ("b", pa.int64())])
+TREE, NEAREST, ALL = "tree", "nearest", "all"
 
 
-def block_pairs(percent: int, tree: bool):
+def block_pairs(percent: int, mode: str):
     """Pairs of one (n-gram, block pair) that are not connected and whose sketches allow the similarity.
 
-    With `tree`, only the likeliest pair that would connect two parts is given, as if each pair held: a tree over the parts
-    instead of all their pairs, and no more than one for all blocks of a task.
+    `ALL` gives every pair. `NEAREST` gives each set the likeliest partner that it is not connected with. `TREE` gives the
+    likeliest pairs that would connect the parts, as if each pair held: a tree over the parts, and no more than one for
+    all blocks of a task; it also tells which sets have any such partner, as others need not be looked at again.
     """
 
     def folded(sketch: np.ndarray, words: int) -> np.ndarray:
         return np.bitwise_xor.reduce(sketch.reshape(len(sketch), -1, words), axis=1)
 
-    def within(rows: list[tuple], part: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def within(rows: list[tuple], part: dict[int, int], suspects: set[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         key, root, n, side = (np.array([r[k] for r in rows]) for k in (0, 1, 2, 4))
-        if tree:
-            root = np.array([part.get(r, r) for r in root.tolist()])
+        guess = np.array([part.get(r, r) for r in root.tolist()]) if mode == TREE else root
+        nearest = {}
         words = np.array([len(r[3]) // 8 for r in rows])
         for size in np.unique(words):
             mine = np.flatnonzero(words == size)
@@ -274,19 +317,30 @@ def block_pairs(percent: int, tree: bool):
                 least = np.bitwise_count(left[at : at + step, None] ^ right[None]).sum(-1, dtype=np.int64)
                 both = n[i][:, None] + n[other][None]
                 allowed = apart & (least * (100 + percent) <= both * (100 - percent))
-                if not tree:
+                if mode == ALL:
                     x, y = np.nonzero(allowed)
                     yield key[i][x], key[other][y]
                     continue
+                far = np.where(allowed, least / both, np.inf)
+                if mode == NEAREST:
+                    for mine_of, theirs, gaps in ((i, other, far), (other, i, far.T)):
+                        best = gaps.argmin(1)
+                        for x in np.flatnonzero(np.isfinite(gaps.min(1))):
+                            found = (gaps[x, best[x]], key[theirs[best[x]]])
+                            nearest[key[mine_of[x]]] = min(found, nearest.get(key[mine_of[x]], found))
+                    continue
+                suspects.update(key[i[allowed.any(1)]].tolist(), key[other[allowed.any(0)]].tolist())
                 for x in np.flatnonzero(allowed.any(1)):
-                    y = np.flatnonzero(allowed[x] & (root[other] != root[i[x]]))
+                    y = np.flatnonzero(allowed[x] & (guess[other] != guess[i[x]]))
                     if len(y):
-                        y = y[np.argsort(least[x, y], kind="stable")]
-                        parts, first = np.unique(root[other[y]], return_index=True)
+                        y = y[np.argsort(far[x, y], kind="stable")]
+                        parts, first = np.unique(guess[other[y]], return_index=True)
                         yield np.full(len(first), key[i[x]]), key[other[y[first]]]
-                        root[np.isin(root, parts)] = root[i[x]]
-        if tree:
-            part.update(zip((r[1] for r in rows), root.tolist(), strict=True))
+                        guess[np.isin(guess, parts)] = guess[i[x]]
+        if nearest:
+            yield np.array(list(nearest)), np.array([found[1] for found in nearest.values()])
+        if mode == TREE:
+            part.update(zip((r[1] for r in rows), guess.tolist(), strict=True))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -294,10 +348,13 @@ def block_pairs(percent: int, tree: bool):
 
         def done() -> Iterator[pa.RecordBatch]:
             nonlocal part
+            suspects: set[int] = set()
             if len(held) > 1:
-                for a, b in within(held, part):
+                for a, b in within(held, part, suspects):
                     if len(a):
-                        yield common.record(PAIRS, a=np.minimum(a, b), b=np.maximum(a, b))
+                        yield common.record(FOUND, open=[False] * len(a), a=np.minimum(a, b), b=np.maximum(a, b))
+            if suspects:
+                yield common.record(FOUND, open=[True] * len(suspects), a=[now[0]] * len(suspects), b=list(suspects))
             held.clear()
             # Only a memory of what was given before; to forget it costs repeats.
             part = part if len(part) < 500_000 else {}
@@ -336,19 +393,75 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInArrow(exact_links(percent), "a bigint, b bigint")
 
 
-def candidates_of(sets: DataFrame, roots: DataFrame, percent: int, tree: bool) -> DataFrame:
-    """Pairs not yet connected that share an n-gram of their prefixes and pass the bound of the sketches."""
+def open_marks(marks: DataFrame, roots: DataFrame) -> DataFrame:
+    """(mark, key, root, size) of the n-grams whose sets are not all connected."""
     root = F.coalesce("root", "key")
-    known = roots.withColumnRenamed("id", "key")
-    rows = sets.mapInArrow(prefix_rows(percent), "mark bigint, key bigint, n bigint").join(known, "key", "left").select("mark", "key", root.alias("root"))
-    open_ = rows.groupBy("mark").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size")).where("least <> most")
-    rows = rows.join(open_.select("mark", F.ceil(F.col("size") / MEMBERS).alias("blocks")), "mark")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks"))
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = marks.join(roots.withColumnRenamed("id", "key"), "key", "left").select("mark", "key", root.alias("root"))
+    several = rows.groupBy("mark").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size")).where("least <> most")
+    return rows.join(several.select("mark", "size"), "mark")
+
+
+def candidates_of(rows: DataFrame, drawn: DataFrame, percent: int, mode: str) -> DataFrame:
+    """What the blocks of n-grams give: (open, a, b), see `block_pairs`."""
+    blocks = F.ceil(F.col("size") / MEMBERS)
+    own = F.pmod(F.xxhash64("key"), blocks)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     rows = rows.select("mark", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "key", "root", (F.col("own") > F.col("other")).cast("int").alias("side"))
-    drawn = sets.mapInArrow(sketches(CELLS), "key bigint, n bigint, sketch binary")
     rows = rows.join(drawn, "key").repartition("mark", "low", "high").sortWithinPartitions("mark", "low", "high")
-    return rows.mapInArrow(block_pairs(percent, tree), "a bigint, b bigint").distinct()
+    return rows.mapInArrow(block_pairs(percent, mode), "open boolean, a bigint, b bigint").distinct()
+
+
+def connected(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, root) of the classes that are linked to any other, root being the least of their component."""
+    marks = sets.mapInArrow(min_hashes, "mark bigint, key bigint, n bigint")
+    pivots = marks.groupBy("mark").agg(F.min("key").alias("a"))
+    stars = common.keep(marks.join(pivots, "mark").where("a <> key").select("a", F.col("key").alias("b")).distinct(), "ngram-stars")
+    roots = common.components(verified(stars, sets, percent), "ngram-links")
+    often = frequencies(sets)
+    marks = common.keep(sets.mapInArrow(prefix_rows(percent, often), "mark bigint, key bigint, n bigint").drop("n"), "ngram-marks")
+    # Trees connect what the stars have left of large groups, then each set its nearest one, as long as that finds links;
+    # at last every pair that is still apart and may be similar is counted.
+    mode = TREE
+    while True:
+        rows = common.keep(open_marks(marks, roots), "ngram-open")
+        if rows.isEmpty():
+            return roots
+        drawn = sets.mapInArrow(sketches(FINE if mode == ALL else CELLS), "key bigint, n bigint, sketch binary")
+        given = common.keep(candidates_of(rows, drawn, percent, mode), "ngram-pairs")
+        if mode == TREE:
+            marks = given.where("open").select(F.col("a").alias("mark"), F.col("b").alias("key"))
+        more = common.keep(verified(given.where("NOT open").select("a", "b"), sets, percent), "ngram-more")
+        found = not more.isEmpty()
+        if found:
+            edges = more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))
+            roots = common.components(edges, "ngram-roots")
+        if mode == ALL:
+            return roots
+        mode = NEAREST if found or mode == TREE else ALL
+
+
+def labelled(documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, name, n, key, root) of each row; name is a hash of its text, root one of the classes of its component."""
+    text = F.col("text").cast("string")
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("name"))
+    blocks = common.parts(docs, BLOCK_BYTES)
+    posted = docs.mapInArrow(incidence(width, blocks), INCIDENCE_DDL)
+    dealt = posted.repartition(blocks, "block").sortWithinPartitions("block")
+    counted = common.keep(dealt.mapInArrow(accumulate, COUNTED_DDL), "ngram-incidence", "kind")
+    rows = counted.where(F.col("kind") == DOC).select("doc_id", "name", "key", "n")
+    # A class is told by one of its rows, whether that has an id or not.
+    one = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), F.col("doc_id").isNull().alias("none"), "name"))
+    classes = rows.where("n > 0").groupBy("key").agg(one.alias("row"), F.max("n").alias("n"))
+    shared = counted.where(F.col("kind") == SHARED).groupBy("key").agg(F.sum("shared").alias("shared"))
+    left = shared.join(classes, "key").where(F.col("shared") * 100 >= F.col("n") * percent)
+    left = common.keep(left.select("key", F.when(~F.col("row.none"), F.col("row.doc_id")).alias("doc_id"), "row.name"), "ngram-left")
+    if left.isEmpty():
+        return rows.withColumn("root", F.col("key"))
+    known = left.select(F.col("doc_id").alias("left_id"), F.col("name").alias("left_name"), "key")
+    wanted = docs.join(known, (F.col("name") == F.col("left_name")) & F.col("doc_id").eqNullSafe(F.col("left_id")))
+    sets = wanted.select("doc_id", "text", "key").mapInArrow(sets_of(width), "key bigint, n bigint, grams binary").dropDuplicates(["key"])
+    roots = connected(common.keep(sets, "ngram-sets"), percent)
+    return rows.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
 def ngram_join(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -357,48 +470,30 @@ def ngram_join(documents: DataFrame, width: int = 5, percent: int = 75) -> DataF
     Two rows are linked when their sets of `width`-word shingles have a Jaccard similarity of `percent` / 100 or more.
     A null, empty or blank text has an empty set and no link. Each row is judged by its own text: repeated rows are
     returned as often as they came, and the component of a row is the smallest doc_id in it. A row without doc_id
-    may link others; alone, its component is null. An empty table gives an empty result.
+    links others like any row; where no row of a component has an id, component_id is null. An empty table gives an empty result.
     """
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = common.parts(docs, BLOCK_BYTES)
-    posted = docs.mapInArrow(incidence(width, blocks), INCIDENCE_DDL)
-    dealt = posted.repartition(blocks, "block").sortWithinPartitions("block")
-    counted = common.keep(dealt.mapInArrow(accumulate, COUNTED_DDL), "ngram-incidence", "kind")
-    rows = counted.where(F.col("kind") == DOC).select("doc_id", "key", "n")
-    classes = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
-    shared = counted.where(F.col("kind") == SHARED).groupBy("key").agg(F.sum("shared").alias("shared"))
-    left = shared.join(classes, "key").where(F.col("shared") * 100 >= F.col("n") * percent).where("least is not null")
-    left = common.keep(left.select("key", F.col("least").alias("doc_id")), "ngram-left")
-    sets = docs.join(left, "doc_id").mapInArrow(sets_of(width), "key bigint, n bigint, grams binary").dropDuplicates(["key"])
-    sets = common.keep(sets, "ngram-sets")
-
-    marks = sets.mapInArrow(min_hashes, "mark bigint, key bigint, n bigint")
-    pivots = marks.groupBy("mark").agg(F.min("key").alias("a"))
-    stars = marks.join(pivots, "mark").where("a <> key").select("a", F.col("key").alias("b")).distinct()
-    links = common.keep(verified(stars, sets, percent), "ngram-links")
-    roots = common.components(links, "ngram-stars")
-    # Trees connect what is left of large groups; then every pair that is still apart and may be similar is counted.
-    for tree in [True] * TREES + [False]:
-        more = common.keep(verified(candidates_of(sets, roots, percent, tree), sets, percent), "ngram-more")
-        edges = more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))
-        roots = common.keep(common.components(edges, "ngram-roots"), "ngram-parts")
-
-    named = classes.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    label = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = named.join(label, "root").select("key", "component_id")
-    out = rows.join(label, "key", "left")
-    component = F.coalesce("component_id", "doc_id")
+    rows = common.keep(labelled(documents, width, percent), "ngram-rows")
+    label = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(label, "root", "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
-    """The documents without near copies, all columns as they are: of each component the row of its smallest doc_id stays.
+    """The documents without near copies, all columns as they are: of each component one row stays.
 
-    Rows of one doc_id are one document, of which the first by a hash of its text stays. Rows without doc_id all stay.
+    It is the row of the smallest doc_id, of several texts with that id the first by a hash; of equal rows any one. A
+    component without an id keeps the row with the first hash. Rows without words are linked with nothing: they all stay.
+    Columns of any name are returned as they came. An empty table gives an empty result.
     """
-    named = ngram_join(documents.select("doc_id", "text"), width, percent)
-    ids = named.where("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "kept_id")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    rows = documents.join(ids, documents["doc_id"] == ids["kept_id"]).withColumn("kept_rank", F.row_number().over(order))
-    rows = rows.where("kept_rank = 1").select(*documents.columns)
-    return rows.unionByName(documents.where("doc_id is null"))
+    rows = common.keep(labelled(documents.select("doc_id", "text"), width, percent), "ngram-rows")
+    last = F.lit(2**63 - 1)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", last).alias("doc_id"), "name")
+    first = rows.where("n > 0").groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+    chosen = first.select(F.when(~F.col("none"), F.col("doc_id")).alias("kept_id"), F.col("name").alias("kept_name"))
+    blank = rows.where("n = 0").select("doc_id", "name").distinct().select(F.col("doc_id").alias("kept_id"), F.col("name").alias("kept_name"), F.lit(True).alias("blank"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    held = documents.select(whole, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("name"))
+    same = (F.col("name") == F.col("kept_name")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    found = held.join(chosen, same).groupBy("doc_id", "name").agg(F.first("row").alias("row"))
+    return found.select("row.*").unionByName(held.join(blank, same).select("row.*"))

@@ -73,9 +73,9 @@ def test_row_without_id_is_returned(spark):
     assert Counter(map(tuple, ngram_join.ngram_join(rows).collect())) == Counter([(None, 2, 3), (3, 2, 3), (None, 0, None)])
 
 
-@pytest.mark.parametrize("tree", [True, False])
-def test_pairs_of_a_block(tree):
-    """A tree connects what all pairs connect."""
+@pytest.mark.parametrize("mode", [ngram_join.TREE, ngram_join.NEAREST, ngram_join.ALL])
+def test_pairs_of_a_block(mode):
+    """A tree connects what all pairs connect; each set has its nearest one."""
     grams = [np.sort(np.random.default_rng(k // 4).integers(0, 2**63, 100, dtype=np.uint64)) for k in range(12)]
     import pyarrow as pa
 
@@ -83,9 +83,13 @@ def test_pairs_of_a_block(tree):
     drawn = next(ngram_join.sketches(2)(iter([sets])))
     same = {"mark": [1] * 12, "low": [0] * 12, "high": [0] * 12, "root": list(range(12)), "side": [0] * 12}
     batch = pa.record_batch(same | {"key": drawn["key"], "n": drawn["n"], "sketch": drawn["sketch"]})
-    pairs = {p for b in ngram_join.block_pairs(75, tree)(iter([batch])) for p in zip(*b.to_pydict().values(), strict=True)}
+    given = {p for b in ngram_join.block_pairs(75, mode)(iter([batch])) for p in zip(*b.to_pydict().values(), strict=True)}
+    pairs = {p[1:] for p in given if not p[0]}
+    assert {p[1:] for p in given if p[0]} == ({(1, k) for k in range(12)} if mode == ngram_join.TREE else set())
     every = {(a, b) for a in range(12) for b in range(a + 1, 12) if a // 4 == b // 4}
-    assert pairs == every if not tree else (pairs <= every and len(pairs) == 9)
+    assert pairs == every if mode == ngram_join.ALL else pairs <= every
+    assert mode != ngram_join.TREE or len(pairs) == 9
+    assert mode != ngram_join.NEAREST or {k for p in pairs for k in p} == set(range(12))
 
 
 def test_pairs_of_two_ranges(spark, monkeypatch):
@@ -95,12 +99,41 @@ def test_pairs_of_two_ranges(spark, monkeypatch):
     base = r.integers(0, 2**63, 60, dtype=np.uint64)
     grams = {k: np.sort(np.concatenate([base, r.integers(0, 2**63, k % 10, dtype=np.uint64)])) for k in range(24)}
     sets = spark.createDataFrame([(k, len(g), bytearray(g.tobytes())) for k, g in grams.items()], "key bigint, n bigint, grams binary")
-    got = {tuple(p) for p in ngram_join.candidates_of(sets, spark.createDataFrame([], "id bigint, root bigint"), 75, False).collect()}
+    rows = ngram_join.open_marks(sets.mapInArrow(ngram_join.prefix_rows(75, np.zeros(ngram_join.FREQUENCIES, np.uint8)), "mark bigint, key bigint, n bigint"), spark.createDataFrame([], "id bigint, root bigint"))
+    drawn = sets.mapInArrow(ngram_join.sketches(2), "key bigint, n bigint, sketch binary")
+    got = {tuple(p)[1:] for p in ngram_join.candidates_of(rows, drawn, 75, ngram_join.ALL).collect()}
     assert {len(g) > 64 for g in grams.values()} == {True, False}
     links = {(a, b) for a in grams for b in grams if a < b and 175 * len(np.intersect1d(grams[a], grams[b])) >= 75 * (len(grams[a]) + len(grams[b]))}
     assert len(links) == 276 and links <= got
 
 
+def test_rows_without_id_link_their_neighbours(spark):
+    """A and B are similar to C alone, whose row has no id."""
+    words = [f"w{k}" for k in range(104)]
+    a, c, b = (" ".join(words[k : k + 84]) for k in (0, 8, 16))
+    sets = list(word_sets([a, c, b]))
+    near = lambda x, y: len(x & y) / len(x | y) >= 0.75
+    assert near(sets[0], sets[1]) and near(sets[1], sets[2]) and not near(sets[0], sets[2])
+    rows = spark.createDataFrame([(1, a), (None, c), (2, b)], "doc_id bigint, text string")
+    assert {r["component_id"] for r in ngram_join.ngram_join(rows).collect()} == {1}
+    alone = spark.createDataFrame([(None, a), (None, c)], "doc_id bigint, text string")
+    assert {r["component_id"] for r in ngram_join.ngram_join(alone).collect()} == {None}
+    assert ngram_join.one_of_each(alone).count() == 1 and ngram_join.one_of_each(rows).first()["doc_id"] == 1
+
+
+def test_one_id_on_all_rows(spark):
+    """Near copies and other texts of one id: each row is judged by its own text, and joins its class only."""
+    words = prose(7, 200).split()
+    near = [" ".join([*words[:k], "changed", *words[k + 1 :]]) for k in range(60, 140)]
+    other = [prose(100 + k, 40) for k in range(20)]
+    rows = spark.createDataFrame([(5, t, k % 3, "x") for k, t in enumerate([*near, *other])], "doc_id bigint, text string, kept_id bigint, row string")
+    found = ngram_join.ngram_join(rows).collect()
+    assert len(found) == 100 and {r["component_id"] for r in found} == {5}
+    kept = ngram_join.one_of_each(rows)
+    assert kept.columns == rows.columns and kept.count() == 21
+    assert {r["text"] for r in kept.collect()} >= set(other)
+
+
 def brute_cut(found, length):
     raw = [(t or "").encode() for t in found]
     seen = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
