@@ -96,6 +96,39 @@ def search(tree: Tree, queries: np.ndarray, k: int, factor: float) -> tuple[np.n
     return place, best
 
 
+def near_floor(tree: Tree, queries: np.ndarray, floor: np.ndarray, factor: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, row of the tree) whose product reaches the query's floor, leaf by leaf; equal products all come.
+
+    The floor is lowered by what rounding may take, so the caller decides by exact scores.
+    """
+    norms = (queries**2).sum(1)
+    square = (tree.vectors[0] ** 2).sum()
+    size = np.sqrt(np.maximum(norms, 0)) * np.sqrt(square)
+    low = floor - 1e-9 * size
+    limit = np.sqrt(np.maximum(norms + square - 2 * low, 0)) + 1e-6 * np.sqrt(norms + square)
+    stack = [(0, np.arange(len(queries)))]
+    while stack:
+        node, rows = stack.pop()
+        first, last, vantage, inner, outer, left, right = tree.nodes[node]
+        if vantage is None:
+            own = tree.order[first:last]
+            row, at = np.nonzero(queries[rows] @ tree.vectors[own].T >= low[rows][:, None])
+            yield rows[row], own[at]
+            continue
+        away = np.sqrt(np.maximum(norms[rows] + square - 2 * queries[rows] @ vantage, 0))
+        for child, gap in ((left, np.maximum(away - inner, 0)), (right, np.maximum(outer - away, 0))):
+            go = rows[factor * gap <= limit[rows]]
+            if len(go):
+                stack.append((child, go))
+
+
+def firsts(rows: np.ndarray, forms: np.ndarray, score: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
+    """Of each row the k highest scores, equal ones by the least id of their form."""
+    order = np.lexsort((least[forms], -score, rows))
+    rows = rows[order]
+    return order[np.arange(len(rows)) - np.searchsorted(rows, rows, "left") < k]
+
+
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Inner products of pairs of rows, added component by component in double precision."""
     total = np.zeros(len(left))
@@ -114,15 +147,23 @@ def nearest_in_shards(k: int, factor: float):
         group = group.ravel()
         by_group = np.argsort(group, kind="stable")
         begin = np.searchsorted(group[by_group], np.arange(len(distinct) + 1))
+        least = ids[by_group[begin[:-1]]]
         most = (distinct**2).sum(1).max()
         lifted = np.concatenate([distinct, np.sqrt(np.maximum(most - (distinct**2).sum(1), 0))[:, None]], axis=1)
         tree = Tree(lifted)
         for at in range(0, len(asked), BLOCK):
             q = asked_vectors[at : at + BLOCK]
-            place, _ = search(tree, np.concatenate([q, np.zeros((len(q), 1))], axis=1), k + 1, factor)
-            row, column = np.nonzero(place >= 0)
-            form = place[row, column]
-            score = products(q[row], distinct[form])
+            lifted_queries = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
+            _, best = search(tree, lifted_queries, k + 1, factor)
+            # Every form as near as the last one of these is held against it by exact score and least id.
+            row, form, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+            for rows, forms in near_floor(tree, lifted_queries, best[:, -1], factor):
+                row, form, score = np.append(row, rows), np.append(form, forms), np.append(score, products(q[rows], distinct[forms]))
+                if len(row) > 4 * (k + 1) * BLOCK:
+                    kept = firsts(row, form, score, least, k + 1)
+                    row, form, score = row[kept], form[kept], score[kept]
+            kept = firsts(row, form, score, least, k + 1)
+            row, form, score = row[kept], form[kept], score[kept]
             count = np.minimum(begin[form + 1] - begin[form], k + 1)
             each = np.repeat(np.arange(len(row)), count)
             inside = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)

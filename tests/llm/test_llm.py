@@ -295,6 +295,21 @@ def test_sum_of_squares_identity():
     assert abs(machine.score(data, at)[0] - want) < 1e-6
 
 
+def test_nearest_with_many_ties(spark, monkeypatch):
+    """Different vectors with equal scores: the smaller id comes first, in every shard."""
+    monkeypatch.setattr(vp_search, "SHARD", 300)
+    r = np.random.default_rng(2)
+    vectors = [v for v in r.integers(-1, 2, (1200, 8)).astype(float) if v.any()]
+    ids = r.permutation(len(vectors)).tolist()
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id bigint, embedding array<double>")
+    got = {(row["query_id"], row["rank"]): (row["vec_id"], row["score"]) for row in vp_search.nearest(table, F.col("vec_id") % 20 == 0, 20, 1.0).collect()}
+    matrix, order = np.array(vectors), np.array(ids)
+    for i in np.flatnonzero(order % 20 == 0):
+        score = matrix @ matrix[i]
+        best = [j for j in np.lexsort((order, -score)) if j != i][:20]
+        assert [got[order[i], k + 1] for k in range(20)] == [(order[j], score[j]) for j in best]
+
+
 def test_packing(docs, empty, spark):
     import public_tokenizers
     from tokenizers import Tokenizer
