@@ -146,6 +146,8 @@ def by_rarest(documents: DataFrame, rows: DataFrame, known: DataFrame) -> DataFr
     `rows` has at, rank and the hashes of a row's text and of the next one; only the texts they name are read into words.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # Written, so that its size is known and the texts need not be exchanged to meet a small table.
+    rows = common.keep(rows, "imatch-lacking")
     wanted = rows.select(F.explode(F.array("text_name", "next_text_name")).alias("name")).distinct()
     found = documents.select(text.alias("text")).withColumn("name", F.xxhash64("text")).join(wanted, "name").dropDuplicates(["name"])
     pairs = rows.join(found.select(F.col("name").alias("text_name"), "text"), "text_name")
