@@ -430,7 +430,9 @@ def connected(sets: DataFrame, percent: int) -> DataFrame:
         given = common.keep(candidates_of(rows, drawn, percent, mode), "ngram-pairs")
         if mode == TREE:
             marks = given.where("open").select(F.col("a").alias("mark"), F.col("b").alias("key"))
-        more = common.keep(verified(given.where("NOT open").select("a", "b"), sets, percent), "ngram-more")
+        # Apart from the open rows, so that their own size tells how to meet the sets.
+        pairs = common.keep(given.where("NOT open").select("a", "b"), "ngram-links")
+        more = common.keep(verified(pairs, sets, percent), "ngram-more")
         found = not more.isEmpty()
         if found:
             edges = more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))
