@@ -3,6 +3,10 @@
 Only DataFrame functions. Tokens are summed by cell (source, language, topic); rounds of raking scale the cells until their
 marginals are the targets; each document of a cell is kept with the cell's probability, decided by a hash of its id, so
 a repeated run keeps the same documents. Cells are far fewer than documents; a round is three window sums over them.
+
+No cell gives more than its tokens. Targets are first made reachable: a value whose target exceeds its tokens gives all of
+them, the others share what is left in proportion. Then every cell has a pull, and weighs its pull or its room, whichever is
+less; a round scales pulls by target over weight, so a full cell stays full and the others of its value make up for it.
 """
 
 from __future__ import annotations
@@ -48,19 +52,42 @@ def flattened(cells: DataFrame, side: str, power: float = FLATTEN) -> DataFrame:
     return weights.join(F.broadcast(total), F.lit(True)).select(side, (F.col("weight") / F.col("total")).alias("target"))
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with `weight`, whose sums by each side are the targets as nearly as the cells allow; a value without target keeps none."""
+def reachable(cells: DataFrame, side: str, target: DataFrame, budget: float = BUDGET, rounds: int = ROUNDS) -> DataFrame:
+    """Targets of one side that its tokens can meet: (side, target), with sum 1 if the budget is at most 1.
+
+    The values of one side are summed in one window; they are names of sources, languages or topics, not documents.
+    """
+    room = cells.groupBy(side).agg(F.sum("tokens").cast("double").alias("tokens"))
+    everything = Window.partitionBy(F.lit(side))
+    now = room.join(target.select(side, F.col("target").cast("double").alias("pull")), side)
+    now = now.withColumn("room", F.col("tokens") / (F.sum("tokens").over(everything) * budget))
+    # From below, every turn comes nearer to the one factor at which the values that are not full take all that is left.
+    for _ in range(rounds):
+        now = now.withColumn("pull", F.col("pull") / F.sum(F.least("pull", "room")).over(everything))
+    return now.select(side, F.least("pull", "room").alias("target"))
+
+
+def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, budget: float | None = None) -> DataFrame:
+    """Cells with `weight`, whose sums by each side are the targets as nearly as the cells allow; a value without target keeps none.
+
+    With a budget, no weight exceeds the cell's room: the share of the kept tokens that all its tokens make. Without one, cells have no bound.
+    """
     now = cells
     for side in SIDES:
         now = now.join(targets[side].select(side, F.col("target").alias(f"to_{side}")), side, "left")
-    now = now.na.fill(0.0, [f"to_{side}" for side in SIDES]).withColumn("weight", F.col("tokens").cast("double"))
+    now = now.na.fill(0.0, [f"to_{side}" for side in SIDES])
+    # One row, so the join is as long as the cells.
+    everything = cells.agg(F.sum("tokens").cast("double").alias("all_tokens"))
+    room = F.lit(float("inf")) if budget is None else F.col("tokens") / (F.col("all_tokens") * budget)
+    now = now.join(F.broadcast(everything), F.lit(True)).withColumns({"room": room, "pull": F.col("tokens") / F.col("all_tokens")}).drop("all_tokens")
+    weight = F.least("pull", "room")
     for turn in range(rounds):
         for side in SIDES:
-            total = F.sum("weight").over(Window.partitionBy(side))
-            now = now.withColumn("weight", F.when(total > 0, F.col("weight") * F.col(f"to_{side}") / total).otherwise(0.0))
+            total = F.sum(weight).over(Window.partitionBy(side))
+            now = now.withColumn("pull", F.when(total > 0, F.col("pull") * F.col(f"to_{side}") / total).otherwise(0.0))
         if turn % 4 == 3:
             now = common.keep(now, "mixing-cells")
-    return now.select(*SIDES, "tokens", "weight")
+    return now.select(*SIDES, "tokens", weight.alias("weight"))
 
 
 def draw(doc_id: Column) -> Column:
@@ -69,17 +96,19 @@ def draw(doc_id: Column) -> Column:
 
 
 def calibrated(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """Cells with weight and probability: of a cell's tokens, the share that the mix takes, 1 at most."""
+    """Cells with weight and probability: of a cell's tokens, the share that the mix takes, never above 1."""
     return calibrated_rows(described(documents), targets, budget)
 
 
 def calibrated_rows(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float) -> DataFrame:
     cells = common.keep(rows.groupBy(*SIDES).agg(F.sum("tokens").alias("tokens")), "mixing-sums")
-    out = raked(cells, targets or {side: flattened(cells, side) for side in SIDES})
+    aims = targets or {side: flattened(cells, side) for side in SIDES}
+    aims = {side: common.keep(reachable(cells, side, aims[side], budget), "mixing-targets") for side in SIDES}
+    out = raked(cells, aims, budget=budget)
     everything = cells.agg(F.sum("tokens").cast("double").alias("all_tokens"))
     wanted = F.col("weight") * budget * F.col("all_tokens") / F.col("tokens")
     # One row, so each side of this join is as long as the cells.
-    return out.join(F.broadcast(everything), F.lit(True)).select(*SIDES, F.round("weight", 9).alias("weight"), F.round(F.least(wanted, F.lit(1.0)), 6).alias("probability"))
+    return out.join(F.broadcast(everything), F.lit(True)).select(*SIDES, F.round("weight", 9).alias("weight"), F.round(wanted, 6).alias("probability"))
 
 
 def mixed(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
@@ -87,7 +116,8 @@ def mixed(documents: DataFrame, targets: dict[str, DataFrame] | None = None, bud
 
     `targets` gives (value, target) for source, lang and topic; without it each side's shares of tokens are flattened. A null
     source or language counts as "unknown", a null text as empty with one token. Repeated rows are decided alike. An
-    empty table gives an empty result. A cell whose target exceeds its tokens is kept whole: nothing is taken twice.
+    empty table gives an empty result. A value whose target exceeds its tokens is kept whole and the other values of its side share
+    the rest; so is a full cell, and the other cells of its values make up for it. Nothing is taken twice.
     """
     rows = common.keep(described(documents), "mixing-rows")
     out = rows.join(calibrated_rows(rows, targets, budget), [*SIDES], "left")

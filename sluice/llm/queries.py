@@ -89,20 +89,30 @@ def _mixing_sql() -> str:
     for side in mixing.SIDES:
         steps.append(f"p_{side} AS (SELECT {side}, pow(sum(tokens)::DOUBLE, {mixing.FLATTEN}) AS weight FROM cells GROUP BY {side})")
         steps.append(f"t_{side} AS (SELECT {side}, weight / sum(weight) OVER () AS target FROM p_{side})")
-    targets = ", ".join(f"t_{s}.target AS to_{s}" for s in mixing.SIDES)
-    joins = " ".join(f"JOIN t_{s} USING ({s})" for s in mixing.SIDES)
-    steps.append(f"r0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens::DOUBLE AS weight, {targets} FROM cells {joins})")
+        # As in the code: pulls, and what their room lets through.
+        steps.append(
+            f"u_{side}_0 AS MATERIALIZED (SELECT {side}, target AS pull, sum(tokens)::DOUBLE / (sum(sum(tokens)) OVER ()::DOUBLE * {mixing.BUDGET}) AS room"
+            f" FROM cells JOIN t_{side} USING ({side}) GROUP BY {side}, target)"
+        )
+        for turn in range(mixing.ROUNDS):
+            steps.append(f"u_{side}_{turn + 1} AS MATERIALIZED (SELECT {side}, pull / sum(least(pull, room)) OVER () AS pull, room FROM u_{side}_{turn})")
+    targets = ", ".join(f"least(u_{s}_{mixing.ROUNDS}.pull, u_{s}_{mixing.ROUNDS}.room) AS to_{s}" for s in mixing.SIDES)
+    joins = " ".join(f"JOIN u_{s}_{mixing.ROUNDS} USING ({s})" for s in mixing.SIDES)
+    steps.append(
+        f"r0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens / all_tokens AS pull, tokens / (all_tokens * {mixing.BUDGET}) AS cell_room, {targets}"
+        f" FROM cells {joins}, everything)"
+    )
     now = 0
     for _ in range(mixing.ROUNDS):
         for side in mixing.SIDES:
             steps.append(
-                f"r{now + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(weight) OVER (PARTITION BY {side}) > 0"
-                f" THEN weight * to_{side} / sum(weight) OVER (PARTITION BY {side}) ELSE 0.0 END AS weight) FROM r{now})"
+                f"r{now + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(least(pull, cell_room)) OVER (PARTITION BY {side}) > 0"
+                f" THEN pull * to_{side} / sum(least(pull, cell_room)) OVER (PARTITION BY {side}) ELSE 0.0 END AS pull) FROM r{now})"
             )
             now += 1
     steps.append(
-        f"final AS (SELECT source, lang, topic, round(weight, 9) AS weight,"
-        f" round(least(weight * {mixing.BUDGET} * all_tokens / tokens, 1.0), 6) AS probability FROM r{now}, everything)"
+        f"final AS (SELECT source, lang, topic, round(least(pull, cell_room), 9) AS weight,"
+        f" round(least(pull, cell_room) * {mixing.BUDGET} * all_tokens / tokens, 6) AS probability FROM r{now}, everything)"
     )
     draw = "('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 8))::UBIGINT::DOUBLE / 4294967296"
     return (

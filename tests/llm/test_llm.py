@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import imatch, mixing, ngram_join, packing, pii, quality_fm, run_index, suffix_dedup, toxicity, url_filter, vp_search
+from sluice.llm import common, imatch, mixing, ngram_join, packing, pii, quality_fm, run_index, suffix_dedup, toxicity, url_filter, vp_search
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, rid string, kind string"
 
@@ -372,3 +372,31 @@ def test_mixing(docs, empty):
     want = {r["source"]: r["target"] for r in targets["source"].collect()}
     assert all(abs(r["w"] - want[r["source"]]) < 0.05 for r in raked)
     assert mixing.mixed(empty).count() == 0 and mixing.sampled(docs).columns == docs.columns
+
+
+def test_mixing_reaches_what_the_cells_can_give(spark, docs):
+    """Probabilities before any rounding are 1 at most; the marginals of tokens times probability are the reachable targets."""
+    rows = [(s, l, t, 1 + (i * 7919) % 500 * (60 if s == "hot" else 1)) for i, (s, l, t) in enumerate((s, l, t) for s in ("hot", "a", "b", "c") for l in ("en", "de", "fr") for t in ("x", "y"))]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens bigint")
+    whole = sum(r[3] for r in rows)
+    aims = {side: common.keep(mixing.reachable(cells, side, mixing.flattened(cells, side), 0.6), "test-aims") for side in mixing.SIDES}
+    kept = mixing.raked(cells, aims, 32, 0.6).collect()
+    assert all(r["weight"] * 0.6 * whole <= r["tokens"] * (1 + 1e-12) for r in kept)
+    assert any(r["weight"] * 0.6 * whole > r["tokens"] * 0.999 for r in kept)
+    assert abs(sum(r["weight"] for r in kept) - 1) < 1e-6
+    for side in mixing.SIDES:
+        for aim in aims[side].collect():
+            assert abs(sum(r["weight"] for r in kept if r[side] == aim[side]) - aim["target"]) < 0.01 * aim["target"], (side, aim)
+    # Water filling by hand: full values give all, the others keep their proportions.
+    wish = {r["source"]: r["target"] for r in mixing.flattened(cells, "source").collect()}
+    room = {s: sum(r[3] for r in rows if r[0] == s) / (0.6 * whole) for s in wish}
+    full: set[str] = set()
+    while True:
+        factor = (1 - sum(room[s] for s in full)) / sum(wish[s] for s in wish if s not in full)
+        more = {s for s in wish if s not in full and wish[s] * factor > room[s]}
+        if not more:
+            break
+        full |= more
+    for aim in aims["source"].collect():
+        assert abs(aim["target"] - (room[aim["source"]] if aim["source"] in full else wish[aim["source"]] * factor)) < 1e-6
+    assert full
