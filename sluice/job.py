@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from sluice.operators import audit, lookup, quarantine, retention, routing  # noqa: E402
 from sluice.schema import DESTINATIONS, FILE, WAREHOUSE  # noqa: E402
 from sluice.sources import change_log, log_index  # noqa: E402
-from sluice.streaming import compaction, ledger, manifest, relay, sinks, state  # noqa: E402
+from sluice.streaming import compaction, delivered, ledger, manifest, relay, sinks, state  # noqa: E402
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -50,6 +50,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
         "--keep-documents", action="store_true", help="update events are given documents that the relay keeps itself"
     )
     parser.add_argument("--buckets", type=int, default=state.BUCKETS, help="parts of the kept documents")
+    parser.add_argument("--drop-copies", action="store_true", help="events that any run relayed before are left out")
+    parser.add_argument("--filter-blocks", type=int, default=delivered.BLOCKS, help="blocks of 32 bytes of a day's filter of tokens")
     parser.add_argument("--save-interval", type=int, help="seconds")
     parser.add_argument("--target", action="append", default=[], metavar="DESTINATION=NAME")
     parser.add_argument(
@@ -150,6 +152,7 @@ def configure(spark: SparkSession, options: argparse.Namespace, index: DataFrame
         index=index_folder(options),
         compact_before=(lambda: today() - dt.timedelta(days=options.compact_days)) if options.compact_days is not None else None,
         documents=state.Documents(f"{options.root}/documents", options.buckets) if options.keep_documents else None,
+        seen=delivered.Delivered(f"{options.root}/delivered", options.filter_blocks) if options.drop_copies else None,
     )
 
 
@@ -166,6 +169,10 @@ def expire(spark: SparkSession, configured: relay.Relay, options: argparse.Names
         newest = options.expire_backups if destination == FILE else None
         for folder in retention.folders(spark, configured.options.path(destination)):
             retention.drop_expired(spark, folder, today(), options.expire_days, newest)
+    if options.expire_days and configured.seen is not None:
+        for table in configured.seen.tables:
+            for folder in retention.folders(spark, table.path):
+                retention.drop_expired(spark, folder, today(), options.expire_days)
     if options.expire_days and configured.compact_before is not None:
         for table in relay.tables(configured):
             if table.target is not None:

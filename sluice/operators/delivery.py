@@ -2,7 +2,8 @@
 
 A replay from the same checkpoint overwrites what it wrote before. A relay that was
 started again from a saved position, under a new checkpoint, sends the events after
-that position a second time; here the copies are dropped on read.
+that position a second time; here the copies are dropped on read. A relay that remembers
+what it delivered (``streaming.delivered``) does not write them.
 """
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ def first_delivery(events: DataFrame, key: str = "token") -> DataFrame:
 
     Copies collapse in the partial aggregate of each task, so a group of copies
     reaches the shuffle as one row per task however large it is. On a stream the
-    state grows with the log, as no copy is ever too late; a job over day partitions
-    is the bounded form.
+    state grows with the log, as no copy is ever too late; ``streaming.delivered`` is the
+    bounded form.
     """
     return events.dropDuplicates([key])

@@ -25,7 +25,7 @@ from sluice.operators import (
 )
 from sluice.schema import DESTINATIONS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
 from sluice.sources import change_log, log_index, table_events
-from sluice.streaming import compaction, ledger, relay, sinks, state
+from sluice.streaming import compaction, delivered, ledger, relay, sinks, state
 from sluice.workspace import fresh_dir
 
 # Parameters of the registered queries; the SQL twins state the same values.
@@ -523,6 +523,18 @@ def dedupe_token(spark, sf_dir):
     )
 
 
+def dedupe_stream(spark, sf_dir):
+    """The log sent a second time under a new checkpoint, and compacted between: every event is in the table once."""
+    root = fresh_dir(spark, "relay")
+    kept = delivered.Delivered(f"{root}/delivered", blocks=1 << 10)
+    configured = relay.Relay([WAREHOUSE], sinks.SinkOptions(root), backfill=True, seen=kept, compact_before=lambda: RETENTION_AS_OF)
+    _relay_all(spark, sf_dir, configured)
+    relay.compact(configured, spark, "none", 0, least=1)
+    relay.start(configured, change_log.stream_lines(spark, f"{root}/log"), f"{root}/again").awaitTermination()
+    stored = compaction.read(spark, relay.tables(configured)[0])
+    return stored.select("id", "operationType", "clusterTime", "table", _day_text())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_log_scan": change_log_scan,
     "change_log_archive": change_log_archive,
@@ -572,4 +584,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "throttled_ledger_stream": throttled_ledger_stream,
     "quarantine": quarantine_query,
     "dedupe_token": dedupe_token,
+    "dedupe_stream": dedupe_stream,
 }

@@ -355,3 +355,4 @@ STATEMENTS: dict[str, str] = {
     ),
 }
 STATEMENTS["partition_expiration_filter"] = STATEMENTS["partition_expiration"]
+STATEMENTS["dedupe_stream"] = STATEMENTS["compacted_sink"]

@@ -20,7 +20,7 @@ from sluice.functions import cluster_time
 from sluice.operators import audit, lookup, quarantine, routing
 from sluice.schema import DESTINATIONS, FILE
 from sluice.sources import change_log, log_index
-from sluice.streaming import compaction, ledger, state
+from sluice.streaming import compaction, delivered, ledger, state
 from sluice.streaming.sinks import SINKS, STORED, Sink, SinkOptions, batch_folder, remove, replace_batch
 
 # What the audit holds of every batch.
@@ -45,6 +45,7 @@ class Relay:
     ``index`` is the folder of an index of the log's files (``sources.log_index``), to which every batch adds its own; it
     needs lines that name their file.
     ``compact_before`` says which days are closed: every ``COMPACT_EVERY`` batches their folders become one each.
+    ``seen`` remembers what was relayed, and copies of it are left out, whichever run sends them.
     ``backfill`` is for batches that hold many days: see ``by_day``. ``after_batch`` is called when a batch is in all
     destinations and its position is saved, while nothing is being written; it may be called again for a repeated batch.
     """
@@ -64,6 +65,7 @@ class Relay:
     index: str | None = None
     documents: state.Documents | None = None
     compact_before: Callable[[], dt.date] | None = None
+    seen: delivered.Delivered | None = None
 
     def __post_init__(self):
         if self.mode not in (QUARANTINE, STRICT):
@@ -121,8 +123,10 @@ def watched(relay: Relay, labelled: DataFrame) -> DataFrame:
 
 
 def completed(relay: Relay, labelled: DataFrame) -> DataFrame:
-    """Update events with the current document of their key."""
+    """Events that were not relayed before, updates with the current document of their key."""
     spark = labelled.sparkSession
+    if relay.seen is not None:
+        labelled = delivered.unseen(spark, relay.seen, labelled)
     if relay.documents is not None:
         touched = state.advance(spark, relay.documents, quarantine.valid(labelled))
         labelled = state.attach(spark, relay.documents, labelled, touched)
@@ -132,11 +136,13 @@ def completed(relay: Relay, labelled: DataFrame) -> DataFrame:
 
 
 def tables(relay: Relay) -> list[compaction.Table]:
-    """The destinations' tables, the ledger and the audit."""
+    """The destinations' tables, what was delivered, the ledger and the audit."""
     found = []
     for name in relay.destinations:
         columns, target = STORED[name]
         found.append(compaction.Table(relay.options.path(name), columns, target, compaction.TEXT if name == FILE else compaction.PARQUET))
+    if relay.seen is not None:
+        found += relay.seen.tables
     return [*found, ledger.table(relay.ledger_path), compaction.Table(relay.audit_path, AUDIT, fold=_summed)]
 
 
@@ -210,6 +216,8 @@ def _forget(relay: Relay, spark: SparkSession, run_id: str, batch_id: int) -> No
     if ledger.exists(spark, f"{relay.audit_path}/{own}"):
         for name in DESTINATIONS:
             remove(spark, f"{relay.options.path(name)}/*/*/{own}")
+        for table in relay.seen.tables if relay.seen is not None else []:
+            remove(spark, f"{table.path}/*/*/{own}")
         remove(spark, f"{relay.audit_path}/{own}")
 
 
@@ -217,9 +225,9 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
     """Relay one batch of lines. The same run and batch can be relayed again."""
     _forget(relay, lines.sparkSession, run_id, batch_id)
     every_line = checked(relay, lines)
-    if relay.index is not None or relay.documents is not None:
-        # The index is of whole files, also of what this relay leaves out, and documents are read before they are
-        # attached; all lines are kept, so they are parsed once.
+    if relay.index is not None or relay.documents is not None or relay.seen is not None:
+        # The index is of whole files, also of what this relay leaves out, documents are read before they are
+        # attached, and copies are looked for first; all lines are kept, so they are parsed once.
         every_line = every_line.persist(StorageLevel.MEMORY_AND_DISK)
     labelled = completed(relay, watched(relay, every_line))
     if relay.backfill:
@@ -244,6 +252,8 @@ def relay_batch(relay: Relay, lines: DataFrame, run_id: str, batch_id: int) -> N
                 )
             )
         _together(lines.sparkSession, deliveries)
+        if relay.seen is not None:
+            delivered.record(relay.seen, events, run_id, batch_id)
         ledger.save(events, relay.ledger_path, run_id, batch_id, relay.save_interval)
     finally:
         labelled.unpersist()
