@@ -21,7 +21,7 @@ from sluice.operators import delivery
 from sluice.streaming import compaction
 from sluice.streaming.sinks import replace_batch
 
-#: 4 MB of filter a day; at 25 bits a token it holds 1.3 million with about one false positive in 3000.
+#: 4 MB of filter a day; at 25 bits a token it holds 1.3 million with about one false positive in 1400.
 BLOCKS = 1 << 17
 WORDS = ("w0", "w1", "w2", "w3")
 _TOKENS = T.StructType().add("token", "string")
