@@ -25,7 +25,7 @@ from sluice.operators import (
 )
 from sluice.schema import DESTINATIONS, FILE, KEYED_STREAM, TOPIC, WAREHOUSE
 from sluice.sources import change_log, log_index, table_events
-from sluice.streaming import compaction, delivered, ledger, relay, sinks, state
+from sluice.streaming import bases, compaction, delivered, ledger, relay, sinks, state
 from sluice.workspace import fresh_dir
 
 # Parameters of the registered queries; the SQL twins state the same values.
@@ -34,6 +34,8 @@ AS_OF = 1705708800  # 2024-01-20 00:00:00 UTC
 RETENTION_AS_OF = dt.date(2024, 1, 30)
 RETENTION_DAYS = 10
 SAVE_INTERVAL = 6 * 3600
+BASE_DAYS = 4
+RELAY_DAY = dt.date(2024, 1, 16)
 ARRIVALS = ["2024-01-16 00:00:00"]
 ZONE = "Asia/Tokyo"
 ROUTES = [
@@ -267,6 +269,16 @@ def state_from_updates(spark, sf_dir):
     return lookup.snapshot(_text_events(table_events.patch_lines(spark, sf_dir)))
 
 
+def state_from_bases(spark, sf_dir):
+    """Documents at a past time from the last base before it and the days after that, of an archive that grew in parts."""
+    path, kept = fresh_dir(spark, "archive"), bases.Bases(fresh_dir(spark, "bases"), BASE_DAYS)
+    for part, closed in zip(_arrivals(spark, sf_dir, table_events.patch_lines), (RELAY_DAY, RETENTION_AS_OF), strict=True):
+        change_log.write_archive(_text_events(part), path)
+        stored = change_log.read_archive(spark, path)
+        bases.advance(spark, kept, stored, closed)
+    return bases.documents_as_of(spark, kept, stored, AS_OF)
+
+
 def full_document_lookup(spark, sf_dir):
     events = _events(spark, sf_dir)
     attached = lookup.attach_documents(events, lookup.snapshot(events))
@@ -565,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_state": current_state,
     "state_as_of": state_as_of,
     "state_from_updates": state_from_updates,
+    "state_from_bases": state_from_bases,
     "relay_audit": relay_audit,
     "last_position": last_position,
     "ordered_delivery": ordered_delivery,

@@ -292,6 +292,10 @@ STATEMENTS: dict[str, str] = {
         'SELECT db, coll, doc_key AS "documentKey", doc AS "fullDocument" FROM state',
         _folded("state"),
     ),
+    "state_from_bases": _over_changes(
+        'SELECT db, coll, doc_key AS "documentKey", doc AS "fullDocument" FROM state',
+        _folded("state", f"WHERE t <= {AS_OF}"),
+    ),
     "lookup_relay": _over_changes(
         """SELECT p.id, p.op AS "operationType", CASE p.op WHEN 'delete' THEN 'null'
              WHEN 'update' THEN coalesce(CASE WHEN p.t < {start} THEN early.doc ELSE late.doc END, 'null')
