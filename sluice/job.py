@@ -62,7 +62,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--document-key", default="")
     parser.add_argument("--time-key")
     parser.add_argument("--writer", choices=[sinks.FILES, sinks.STDOUT], default=sinks.FILES)
-    parser.add_argument("--max-megabytes", type=int)
+    parser.add_argument("--max-megabytes", type=float)
     parser.add_argument("--expire-days", type=int, help="keep this many days")
     parser.add_argument("--expire-backups", type=int, help="keep this many newest days")
     parser.add_argument("--compact-days", type=int, help="days older than this many are closed: their folders become one each")

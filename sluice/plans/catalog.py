@@ -35,6 +35,7 @@ RETENTION_AS_OF = dt.date(2024, 1, 30)
 RETENTION_DAYS = 10
 SAVE_INTERVAL = 6 * 3600
 BASE_DAYS = 4
+MAX_BYTES = 16 * 1024
 RELAY_DAY = dt.date(2024, 1, 16)
 ARRIVALS = ["2024-01-16 00:00:00"]
 ZONE = "Asia/Tokyo"
@@ -308,9 +309,9 @@ def throttled_ledger(spark, sf_dir):
 # Sinks
 
 
-def _sink(spark, sf_dir, destination, ordering_by=None):
+def _sink(spark, sf_dir, destination, ordering_by=None, **settings):
     events = _events(spark, sf_dir, ordering_by)
-    options = sinks.SinkOptions(fresh_dir(spark, "sink"))
+    options = sinks.SinkOptions(fresh_dir(spark, "sink"), **settings)
     sink = sinks.SINKS[destination]
     sink.write(sink.shape(relay.by_day(events), options), options, "once", 0)
     return spark, options.path(destination)
@@ -347,6 +348,13 @@ def file_sink(spark, sf_dir):
     return spark.read.text(path).select("log", _day_text(), "value")
 
 
+def rolled_file_sink(spark, sf_dir):
+    """Lines of the file destination, and whether the file of each is within the limit of bytes."""
+    _, path = _sink(spark, sf_dir, FILE, max_megabytes=MAX_BYTES / sinks.MEGABYTE)
+    within = (F.col("_metadata.file_size") <= MAX_BYTES).alias("within_limit")
+    return spark.read.text(path).select("log", _day_text(), "value", within)
+
+
 def partition_expiration(spark, sf_dir):
     """Day partitions are dropped from the stored table; what is left is read back."""
     _, path = _sink(spark, sf_dir, WAREHOUSE)
@@ -585,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_sink": topic_sink,
     "keyed_stream_sink": keyed_stream_sink,
     "file_sink": file_sink,
+    "rolled_file_sink": rolled_file_sink,
     "partition_expiration": partition_expiration,
     "partition_expiration_filter": partition_expiration_filter,
     "route_by_collection": route_by_collection,

@@ -333,6 +333,9 @@ STATEMENTS: dict[str, str] = {
     "file_sink": _over_changes(
         f"SELECT 'changes' AS log, CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date, {_LINE} AS value FROM c"
     ),
+    "rolled_file_sink": _over_changes(
+        f"SELECT 'changes' AS log, CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date, {_LINE} AS value, true AS within_limit FROM c"
+    ),
     "partition_expiration": _over_changes(
         "SELECT id, CAST(CAST(event_time AS DATE) AS VARCHAR) AS cluster_date FROM c "
         f"WHERE event_time >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL {RETENTION_DAYS} DAY"

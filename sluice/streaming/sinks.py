@@ -12,9 +12,12 @@ begins with its first write; it is not looked for per event.
 """
 
 import sys
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,9 @@ MEGABYTE = 1024 * 1024
 FILES = "file"
 STDOUT = "stdout"
 
+# The partition below a batch that tells the files of one task apart.
+PART = "part"
+
 
 @dataclass(frozen=True)
 class SinkOptions:
@@ -46,7 +52,7 @@ class SinkOptions:
     log_type: str = shapes.DEFAULT_LOG_TYPE
     document_key: str = shapes.DEFAULT_DOCUMENT_KEY
     time_key: str | None = None
-    max_megabytes: int | None = None
+    max_megabytes: float | None = None
     writer: str = FILES
 
     def __post_init__(self):
@@ -76,14 +82,15 @@ def _with_batch(rows: DataFrame, run_id: str, batch_id: int) -> DataFrame:
 def replace_batch(
     rows: DataFrame, path: str, run_id: str, batch_id: int, partitions: list[str], **options
 ) -> None:
-    """Write the rows of one batch, replacing what an earlier attempt wrote."""
+    """Write the rows of one batch, replacing what an earlier attempt wrote. ``more`` names partitions below the batch."""
     form = options.pop("form", "parquet")
+    more = options.pop("more", [])
     (
         _with_batch(rows, run_id, batch_id)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
-        .partitionBy(*partitions, *BATCH_COLUMNS)
+        .partitionBy(*partitions, *BATCH_COLUMNS, *more)
         .format(form)
         .save(path)
     )
@@ -152,6 +159,54 @@ def _write_table(destination: str, target: str):
     return write
 
 
+def file_numbers(sizes: np.ndarray, number: int, filled: int, limit: int) -> tuple[np.ndarray, int, int]:
+    """The number of the file of each line, in order, and the last file with its bytes.
+
+    A new file begins before the line that would take the open one beyond ``limit``. A line that is longer has its own.
+    """
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    numbers = np.empty(len(sizes), np.int32)
+    at = 0
+    while at < len(sizes):
+        fit = int(np.searchsorted(ends, ends[at] + limit - filled, side="right")) - 1
+        if fit <= at and filled:
+            number, filled = number + 1, 0
+            continue
+        fit = max(fit, at + 1)
+        numbers[at:fit] = number
+        filled += int(ends[fit] - ends[at])
+        at = fit
+    return numbers, number, filled
+
+
+def rolled(rows: DataFrame, limit: int) -> DataFrame:
+    """Lines with the number of their file within the task, so that no file of a log and day has more than ``limit`` bytes.
+
+    Every task fills its own files one after the other while the lines pass: no second scan, no shuffle, and a state
+    of two numbers for each log and day of the task. Of two files that follow each other in a task, the second begins
+    with a line that did not fit into the first.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_files: dict[tuple, tuple[int, int]] = {}
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("value")).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            logs, days = (batch.column(name).dictionary_encode() for name in ("log", "cluster_date"))
+            group = logs.indices.to_numpy().astype(np.int64) * max(1, len(days.dictionary)) + days.indices.to_numpy()
+            order = np.argsort(group, kind="stable")
+            bounds = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+            numbers = np.empty(len(group), np.int32)
+            for first, end in zip(bounds[:-1], bounds[1:], strict=True):
+                lines = order[first:end]
+                key = (logs[int(lines[0])].as_py(), days[int(lines[0])].as_py())
+                number, filled = open_files.get(key, (0, 0))
+                numbers[lines], number, filled = file_numbers(sizes[lines], number, filled, limit)
+                open_files[key] = (number, filled)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], names=[*batch.schema.names, PART])
+
+    return rows.mapInArrow(work, T.StructType([*rows.schema.fields, T.StructField(PART, T.IntegerType())]))
+
+
 def _print_lines(rows: Iterable) -> None:
     for row in rows:
         sys.stdout.write(row["value"] + "\n")
@@ -164,22 +219,11 @@ def _write_lines(rows: DataFrame, options: SinkOptions, run_id: str, batch_id: i
         # executors. A repeated batch prints again: what was printed stays printed.
         rows.select("value").foreachPartition(_print_lines)
         return
-    limits = {}
     if options.max_megabytes:
-        # Files roll by rows; the mean line length turns the size limit into rows.
-        mean = rows.agg(F.avg(F.octet_length("value") + 1).alias("mean")).first()["mean"]
-        if mean:
-            limit = int(options.max_megabytes * MEGABYTE / mean)
-            limits["maxRecordsPerFile"] = max(1, limit)
-    replace_batch(
-        rows,
-        options.path(FILE),
-        run_id,
-        batch_id,
-        ["log", "cluster_date"],
-        form="text",
-        **limits,
-    )
+        rows = rolled(rows, max(1, int(options.max_megabytes * MEGABYTE)))
+    else:
+        rows = rows.withColumn(PART, F.lit(0))
+    replace_batch(rows, options.path(FILE), run_id, batch_id, ["log", "cluster_date"], more=[PART], form="text")
 
 
 # What the files of each destination hold, and the column of its targets.
