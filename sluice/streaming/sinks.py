@@ -31,9 +31,12 @@ MEGABYTE = 1024 * 1024
 FILES = "file"
 STDOUT = "stdout"
 
-# The partition below a batch that tells the files of one task apart.
+# The partition below a batch that tells the files of one task apart, where these are larger than a row may be.
 PART = "part"
 
+# A file up to this many bytes is put together in one row.
+WHOLE_FILE = MEGABYTE
+
 
 @dataclass(frozen=True)
 class SinkOptions:
@@ -179,6 +182,21 @@ def file_numbers(sizes: np.ndarray, number: int, filled: int, limit: int) -> tup
     return numbers, number, filled
 
 
+def _by_target(batch: pa.RecordBatch) -> Iterator[tuple[tuple, np.ndarray]]:
+    """Log and day of the lines of a batch, with the places of their lines in order."""
+    logs, days = (batch.column(name).dictionary_encode() for name in ("log", "cluster_date"))
+    group = logs.indices.to_numpy().astype(np.int64) * max(1, len(days.dictionary)) + days.indices.to_numpy()
+    order = np.argsort(group, kind="stable")
+    bounds = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+    for first, end in zip(bounds[:-1], bounds[1:], strict=True):
+        lines = order[first:end]
+        yield (logs[int(lines[0])].as_py(), days[int(lines[0])].as_py()), lines
+
+
+def _line_sizes(batch: pa.RecordBatch) -> np.ndarray:
+    return pc.binary_length(batch.column("value")).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+
+
 def rolled(rows: DataFrame, limit: int) -> DataFrame:
     """Lines with the number of their file within the task, so that no file of a log and day has more than ``limit`` bytes.
 
@@ -190,15 +208,9 @@ def rolled(rows: DataFrame, limit: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_files: dict[tuple, tuple[int, int]] = {}
         for batch in batches:
-            sizes = pc.binary_length(batch.column("value")).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-            logs, days = (batch.column(name).dictionary_encode() for name in ("log", "cluster_date"))
-            group = logs.indices.to_numpy().astype(np.int64) * max(1, len(days.dictionary)) + days.indices.to_numpy()
-            order = np.argsort(group, kind="stable")
-            bounds = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
-            numbers = np.empty(len(group), np.int32)
-            for first, end in zip(bounds[:-1], bounds[1:], strict=True):
-                lines = order[first:end]
-                key = (logs[int(lines[0])].as_py(), days[int(lines[0])].as_py())
+            sizes = _line_sizes(batch)
+            numbers = np.empty(len(sizes), np.int32)
+            for key, lines in _by_target(batch):
                 number, filled = open_files.get(key, (0, 0))
                 numbers[lines], number, filled = file_numbers(sizes[lines], number, filled, limit)
                 open_files[key] = (number, filled)
@@ -207,6 +219,40 @@ def rolled(rows: DataFrame, limit: int) -> DataFrame:
     return rows.mapInArrow(work, T.StructType([*rows.schema.fields, T.StructField(PART, T.IntegerType())]))
 
 
+def whole_files(rows: DataFrame, limit: int) -> DataFrame:
+    """The lines of each file that ``rolled`` numbers as one row, without the line end of the last one.
+
+    Small files are many, and a folder for each would be listed, renamed and told apart one after the other. A task
+    keeps one open file for each log and day that it holds.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_files: dict[tuple, tuple[int, int, list[str]]] = {}
+
+        def files(key: tuple, texts: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"log": key[0], "cluster_date": key[1], "value": text} for text in texts], schema=schema)
+
+        for batch in batches:
+            schema, sizes, values = batch.schema, _line_sizes(batch), batch.column("value")
+            for key, lines in _by_target(batch):
+                number, filled, pieces = open_files.get(key, (0, 0, []))
+                numbers, last, filled = file_numbers(sizes[lines], number, filled, limit)
+                bounds = np.concatenate([[0], np.flatnonzero(np.diff(numbers)) + 1, [len(lines)]])
+                in_files = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), values.take(pa.array(lines)))
+                texts = pc.binary_join(in_files, "\n").to_pylist()
+                if numbers[0] == number:
+                    texts[0] = "\n".join([*pieces, texts[0]])
+                else:
+                    texts.insert(0, "\n".join(pieces))
+                open_files[key] = (last, filled, texts[-1:])
+                if texts[:-1]:
+                    yield files(key, texts[:-1])
+        for key, (_, _, pieces) in open_files.items():
+            yield files(key, pieces)
+
+    return rows.select("log", "cluster_date", "value").mapInArrow(work, "log string, cluster_date date, value string")
+
+
 def _print_lines(rows: Iterable) -> None:
     for row in rows:
         sys.stdout.write(row["value"] + "\n")
@@ -219,11 +265,12 @@ def _write_lines(rows: DataFrame, options: SinkOptions, run_id: str, batch_id: i
         # executors. A repeated batch prints again: what was printed stays printed.
         rows.select("value").foreachPartition(_print_lines)
         return
-    if options.max_megabytes:
-        rows = rolled(rows, max(1, int(options.max_megabytes * MEGABYTE)))
-    else:
-        rows = rows.withColumn(PART, F.lit(0))
-    replace_batch(rows, options.path(FILE), run_id, batch_id, ["log", "cluster_date"], more=[PART], form="text")
+    limit = max(1, int(options.max_megabytes * MEGABYTE)) if options.max_megabytes else None
+    settings = {}
+    if limit is not None and limit <= WHOLE_FILE:
+        rows, settings = whole_files(rows, limit), {"maxRecordsPerFile": 1}
+    rows = rows.withColumn(PART, F.lit(0)) if limit is None or settings else rolled(rows, limit)
+    replace_batch(rows, options.path(FILE), run_id, batch_id, ["log", "cluster_date"], more=[PART], form="text", **settings)
 
 
 # What the files of each destination hold, and the column of its targets.

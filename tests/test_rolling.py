@@ -98,3 +98,17 @@ def test_compaction_reads_rolled_files(spark, tmp_path):
 
 def test_no_lines_no_files(spark, tmp_path):
     assert files(write(table(spark, [1]).where("false"), tmp_path, 100)) == []
+
+
+def test_small_files_of_a_day_share_one_folder(spark, tmp_path):
+    path = write(table(spark, [(i * 37) % 90 for i in range(2000)], days=2).repartition(3), tmp_path, 300)
+    found = list(pathlib.Path(path).rglob("part-*.txt"))
+    assert len(found) > 300 and len({p.parent for p in found}) == 2
+    assert spark.read.text(path).count() == 2000
+
+
+def test_files_above_a_row_roll_by_number(spark, tmp_path, monkeypatch):
+    rows = table(spark, [(i * 37) % 90 for i in range(2000)]).coalesce(1)
+    small = sorted(map(tuple, files(write(rows, tmp_path / "small", 900))))
+    monkeypatch.setattr(sinks, "WHOLE_FILE", 0)
+    assert sorted(map(tuple, files(write(rows, tmp_path / "large", 900)))) == small
