@@ -18,17 +18,23 @@ OPERATION_OF_EVENT_TYPE = {
 COLLECTIONS = 4
 # Texts carry no time of their own: one second per document from this moment on.
 TEXT_EPOCH_SECONDS = 1704067200
+# Rows of a table that one task makes into lines, at most.
+TASK_ROWS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A stored table, spread over all cores when its files hold too few splits.
+    """A stored table, dealt anew over tasks where its splits hold too few or too many rows.
 
-    A small table of one row group is read by one task, which would then build and
-    parse all its lines. A table with enough splits is left as it is.
+    A split of a file gets the row groups that begin in it: often none, or millions of short rows, whose lines one task would
+    then build and parse. Rows are counted from the footers of the files. A table with enough even splits is left as it is.
     """
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    splits = rows.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("rows"))
+    found = splits.agg(F.count(F.lit(1)).alias("splits"), F.max("rows").alias("most"), F.sum("rows").alias("all")).first()
+    if found["splits"] >= cores and found["most"] <= TASK_ROWS:
+        return rows
+    return rows.repartition(max(cores, -(-(found["all"] or 0) // TASK_ROWS)))
 
 
 def _line(
