@@ -104,9 +104,11 @@ def namespace_filter(spark, sf_dir):
 def resume_after_token(spark, sf_dir):
     """Resume after the newest token saved before the relay went down."""
     events = _events(spark, sf_dir)
-    saved = audit.last_position(events.where(F.col("T") < RELAY_START))
+    path = fresh_dir(spark, "positions")
+    ledger.append(audit.last_position(events.where(F.col("T") < RELAY_START)), path, "before", 0)
+    saved = ledger.read(spark, path)
     newest = saved.orderBy(F.desc("T"), F.desc("I")).first()
-    resumed = change_log.resume_after(events, newest["token"] + "\n")
+    resumed = change_log.resume_after(events, newest["token"] + "\n", saved)
     return resumed.select("token", "T", "I")
 
 

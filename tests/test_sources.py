@@ -2,9 +2,11 @@
 
 import pytest
 from events import encoded, event
+from pyspark.sql import functions as F
 
 from sluice.operators import audit
-from sluice.sources import change_log
+from sluice.plans import catalog
+from sluice.sources import change_log, table_events
 from sluice.streaming import ledger
 
 
@@ -100,3 +102,32 @@ def test_lines_are_parsed_once(spark):
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
     assert plan.count("$[0]['ns']") == 0
+
+
+def test_a_row_group_larger_than_a_task_is_dealt_over_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(table_events, "TASK_ROWS", 1000)
+    spark.range(20_000).selectExpr("id", "uuid() AS text").coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        # Enough splits by bytes, but all rows are in one of them.
+        assert spark.read.parquet(str(tmp_path / "one.parquet")).rdd.getNumPartitions() >= 8
+        rows = table_events.read_table(spark, str(tmp_path), "one")
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert sum(sizes) == 20_000 and len(sizes) == 20 and max(sizes) <= 1100
+
+
+def test_an_empty_table_is_read(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none.parquet"))
+    assert table_events.read_table(spark, str(tmp_path), "none").count() == 0
+
+
+def test_a_resume_finds_its_token_in_the_ledger(spark, monkeypatch):
+    asked = []
+    real = change_log.resume_after
+    monkeypatch.setattr(change_log, "resume_after", lambda events, token, positions=None: asked.append((token, positions)) or real(events, token, positions))
+    found = catalog.resume_after_token(spark, "/root/testdata/sf0.001").count()
+    (token, positions), = asked
+    assert found > 0 and positions.where(F.col("token") == token.rstrip("\n")).count() == 1
