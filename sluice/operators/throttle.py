@@ -13,6 +13,8 @@ log. Three steps keep every group bounded by a span of time, not by the data:
    followed from every second it can begin with, giving (first save, last save).
 3. Those few pairs are linked across the spans of a collection, which tells where
    the chain really begins in each span; the saves of each span follow from that.
+
+Python gets the seconds of a group, at most as many as a span has, and no tokens.
 """
 
 import numpy as np
@@ -100,10 +102,12 @@ def _linked(interval: int):
 def _span_saves(interval: int):
     def saves(seconds: pd.DataFrame, begin: pd.DataFrame) -> pd.DataFrame:
         if begin.empty:
-            return seconds.iloc[:0][["db", "coll", "token", "T", "I"]]
-        ordered = seconds.sort_values("T")
-        rows = _chain(ordered["T"].to_numpy(), int(begin["first_save"].iloc[0]), interval)
-        return ordered.iloc[rows][["db", "coll", "token", "T", "I"]]
+            return seconds.iloc[:0]
+        ordered = np.sort(seconds["T"].to_numpy())
+        rows = _chain(ordered, int(begin["first_save"].iloc[0]), interval)
+        return pd.DataFrame(
+            {"db": seconds["db"].iloc[0], "coll": seconds["coll"].iloc[0], "span": seconds["span"].iloc[0], "T": ordered[rows]}
+        )
 
     return saves
 
@@ -142,14 +146,15 @@ def throttled_positions(
             .where(F.col("saved_second").isNull() | ~blocked)
             .drop("saved_second")
         )
-    pairs = seconds.groupBy(*_SPAN).applyInPandas(_span_pairs(interval), pair_schema)
+    # Only the numbers of seconds go through Python; the tokens of the few that save are met afterwards.
+    times = seconds.select(*_SPAN, "T")
+    pairs = times.groupBy(*_SPAN).applyInPandas(_span_pairs(interval), pair_schema)
     begins = pairs.groupBy("db", "coll").applyInPandas(
         _linked(interval), "db string, coll string, span bigint, first_save bigint"
     )
-    return (
-        seconds.groupBy(*_SPAN)
+    saves = (
+        times.groupBy(*_SPAN)
         .cogroup(begins.groupBy(*_SPAN))
-        .applyInPandas(
-            _span_saves(interval), "db string, coll string, token string, T bigint, I bigint"
-        )
+        .applyInPandas(_span_saves(interval), "db string, coll string, span bigint, T bigint")
     )
+    return seconds.join(saves, [*_SPAN, "T"], "left_semi").select("db", "coll", "token", "T", "I")

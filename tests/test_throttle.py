@@ -108,3 +108,10 @@ def test_groups_are_spans_not_collections(spark):
     assert "FlatMapGroupsInPandas [db#" in text.replace("`", "")
     assert text.count("span") > 2
     assert len(plan.collect()) == 20
+
+
+def test_no_token_goes_through_python(spark):
+    events = encoded(spark, [event(f"t{n}", n * 7, 1) for n in range(50)])
+    plan = throttle.throttled_positions(events, 20)._jdf.queryExecution().analyzed().toString()
+    grouped = [line for line in plan.splitlines() if "InPandas" in line]
+    assert len(grouped) == 3 and not any("token" in line for line in grouped)
