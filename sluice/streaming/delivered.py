@@ -24,6 +24,8 @@ from sluice.streaming.sinks import replace_batch
 #: 4 MB of filter a day; at 25 bits a token it holds 1.3 million with about one false positive in 1400.
 BLOCKS = 1 << 17
 WORDS = ("w0", "w1", "w2", "w3")
+#: Repeated tokens of a batch from which on all its rows are compared, and not only the rows of these.
+MANY_COPIES = 100_000
 _TOKENS = T.StructType().add("token", "string")
 _FILTERS = T.StructType([T.StructField("block", T.IntegerType()), *[T.StructField(w, T.LongType()) for w in WORDS]])
 
@@ -89,6 +91,23 @@ def suspects(spark: SparkSession, kept: Delivered, events: DataFrame) -> DataFra
     return new.join(old, ["cluster_date", "block"]).where(held[0] & held[1] & held[2] & held[3]).select("cluster_date", "token")
 
 
+def first_of_batch(good: DataFrame) -> DataFrame:
+    """One row of each event of a batch.
+
+    Repeated tokens are counted without the rows that hold them. A batch has few copies of its own or none, so as a rule no
+    row is exchanged or sorted; where copies are many, all rows are.
+    """
+    repeated = good.groupBy("token").count().where("count > 1").select("token")
+    copies = repeated.count()
+    if copies == 0:
+        return good
+    if copies > MANY_COPIES:
+        return delivery.first_delivery(good)
+    single = good.join(repeated, "token", "left_anti").select(*good.columns)
+    several = good.join(repeated, "token", "left_semi").select(*good.columns)
+    return single.unionByName(delivery.first_delivery(several))
+
+
 def unseen(spark: SparkSession, kept: Delivered, labelled: DataFrame) -> DataFrame:
     """The rows of a batch without copies: of each valid event one row, and none if it was relayed before.
 
@@ -96,7 +115,7 @@ def unseen(spark: SparkSession, kept: Delivered, labelled: DataFrame) -> DataFra
     """
     good = labelled.where(F.col("reason").isNull())
     maybe = suspects(spark, kept, good)
-    once = delivery.first_delivery(good)
+    once = first_of_batch(good)
     days = _days(maybe)
     if days:
         known = maybe.join(tokens_of(spark, kept, days), ["cluster_date", "token"], "left_semi").select("token")

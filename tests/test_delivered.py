@@ -116,3 +116,14 @@ def test_the_job_drops_copies_of_earlier_runs(spark, tmp_path):
     assert run("one") == 5
     assert run("two", "--expire-days", "3") == 5
     assert (tmp_path / "out" / "delivered" / "tokens").exists()
+
+
+def test_rows_without_copies_in_their_batch_are_not_exchanged(spark, monkeypatch):
+    alone = batch(spark, range(50))
+    plan = delivered.first_of_batch(alone)._jdf.queryExecution().executedPlan().toString()
+    assert plan == alone._jdf.queryExecution().executedPlan().toString()
+    several = batch(spark, [*range(50), 3, 3, 7])
+    for many in (100, 1):
+        monkeypatch.setattr(delivered, "MANY_COPIES", many)
+        found = delivered.first_of_batch(several)
+        assert names(found) == list(range(50)) and found.columns == several.columns
