@@ -29,6 +29,7 @@ DESCRIPTION = """updatedFields map<string,variant>, removedFields array<string>,
 _PATH = r"to_json(coalesce(try_element_at(described.disambiguatedPaths, {name}), split({name}, '\\.')))"
 
 _WRITES = f"""CASE
+  WHEN coalesce(documentKey, 'null') = 'null' THEN NULL
   WHEN operationType = 'delete' THEN array(struct('{ROOT}' AS path, false AS cut, '{REMOVE}' AS action, CAST(NULL AS STRING) AS value))
   WHEN operationType IN ('insert', 'replace', 'update') AND fullDocument <> 'null'
     THEN array(struct('{ROOT}' AS path, false AS cut, '{SET}' AS action, fullDocument AS value))
@@ -43,12 +44,15 @@ _WRITES = f"""CASE
 
 
 def writes(events: DataFrame) -> DataFrame:
-    """One row for each place that an event writes. Events without a document key change no document."""
+    """One row for each place that an event writes. Events without a document key change no document.
+
+    They have no rows to inline: a filter on the key would be moved below the decoding with a second parse of every line in it.
+    """
     order = cluster_time.sequence(F.col("T"), F.col("I"))
     described = F.when(
         (F.col("operationType") == "update") & (F.col("fullDocument") == "null"), F.from_json("updateDescription", DESCRIPTION)
     )
-    rows = events.where("documentKey <> 'null'").select(
+    rows = events.select(
         *KEY, order.alias("sequence"), "token", "operationType", "fullDocument", described.alias("described")
     )
     rows = rows.select(*KEY, "sequence", "token", F.expr(f"inline({_WRITES})"))

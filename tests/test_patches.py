@@ -147,3 +147,18 @@ def test_numbers_keep_their_digits(spark):
     rows = events(spark, [line, event(2, "update", update={"updatedFields": {"f": 2}})])
     stored = rows.where("operationType = 'insert'").first()["fullDocument"]
     assert lookup.snapshot(rows).first()["fullDocument"] == stored.replace('"f":0.1,', '"f":2,')
+
+
+def test_lines_are_parsed_once_to_be_folded(spark):
+    lines = spark.createDataFrame([(event(1, "insert", document={"a": 1}),)], "value string").repartition(3)
+    labelled = quarantine.label(change_log.decode(change_log.parse(lines)))
+    folded = lookup.snapshot(quarantine.valid(labelled))
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson(concat") == 1
+
+
+def test_events_without_a_key_change_nothing(spark):
+    without = json.loads(event(2, "insert", document={"a": 2}))
+    del without["documentKey"]
+    found = lookup.snapshot(events(spark, [event(1, "insert", document={"a": 1}), json.dumps(without), event(3, "delete", key=5)]))
+    assert [r["fullDocument"] for r in found.collect()] == ['{"a":1}']
