@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from sluice.workspace import fresh_dir
 
 UNKNOWN = 1 << 50
+#: Bits of the bitmap by which `split` tells rows apart, and of one row of it, as `bitmap_construct_agg` makes them.
+SLOTS, PAGE = 1 << 25, 1 << 15
 
 
 def parts(frame: DataFrame, each: int, least: int = 1) -> int:
@@ -29,6 +33,38 @@ def keep(frame: DataFrame, purpose: str, *by: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def split(frame: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of a frame whose `column` may be among `keys` (one column), and the rows where it is certainly not.
+
+    The keys become a bitmap over their hashes, which is broadcast: 4 MB at most, whatever their number. So rows that a join would
+    not find are not exchanged for it. A bit may stand for several values, so an exact join has to follow on the first part.
+    """
+
+    def slot(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(SLOTS))
+
+    places = keys.select(slot(keys.columns[0]).alias("slot"))
+    pages = places.groupBy(F.expr(f"slot DIV {PAGE}").alias("page")).agg(F.expr(f"bitmap_construct_agg(slot % {PAGE})").alias("bits"))
+    asked = frame.withColumn("slot", slot(column)).withColumn("asked", F.expr(f"slot DIV {PAGE}"))
+    place = f"(slot % {PAGE})"
+    bit = F.expr(f"getbit(CAST(conv(hex(substring(bits, CAST({place} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST({place} % 8 AS INT)) = 1")
+    same, pages = F.col("asked") == F.col("page"), F.broadcast(pages)
+    among = same & bit
+    return asked.join(pages, among, "left_semi").select(*frame.columns), asked.join(pages, among, "left_anti").select(*frame.columns)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs that run inside hand Python at most so many rows at once: a task holds each batch in the JVM and again in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -34,6 +34,8 @@ FREQUENCIES = 1 << 20
 CELLS, FINE = 2, 16
 #: Postings that a task gathers before it sends them, members of one block of a large bucket, bytes of input a block.
 POSTINGS, MEMBERS, BLOCK_BYTES = 1_500_000, 4096, 8 << 20
+#: Classes of one block whose numbers fit beside an n-gram in 64 bits; with more, the two are sorted apart.
+OWNERS = 1 << 24
 
 INCIDENCE = pa.schema(
     [("kind", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("name", pa.int64()), ("key", pa.int64()), ("n", pa.int64()),
@@ -129,7 +131,7 @@ def incidence(width: int, blocks: int):
 
 def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each block in turn: how many n-grams of each class another class has. Documents pass."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[bytes, np.ndarray, np.ndarray]] = []
     often: list[np.ndarray] = []
     now = None
 
@@ -140,22 +142,41 @@ def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted() -> Iterator[pa.RecordBatch]:
         if held:
-            gram, key = (np.concatenate(x) for x in zip(*held, strict=True))
+            keys, code = np.unique(np.concatenate([owners for _, owners, _ in held]), return_inverse=True)
+            code = np.repeat(code.astype(np.uint32), np.concatenate([counts for _, _, counts in held]))
+            gram, at = np.zeros(len(code), np.uint64), 0
+            for raw, _, _ in held:
+                gram[at : at + len(raw) // 5] = grams_of(raw)
+                at += len(raw) // 5
             held.clear()
-            order = np.lexsort((key, gram))
-            gram, key = gram[order], key[order]
-            del order
-            fresh = np.ones(len(gram), bool)
-            fresh[1:] = (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])
-            gram, key = gram[fresh], key[fresh]
-            starts = first_of_each(gram)
-            size = np.diff(np.append(starts, len(gram)))
-            more = size > 1
+            if len(keys) <= OWNERS:
+                # An n-gram has 40 bits here, so its owner fits beside it and both are sorted in place.
+                gram <<= np.uint64(24)
+                gram |= code
+                gram.sort()
+                fresh = np.ones(len(gram), bool)
+                fresh[1:] = gram[1:] != gram[:-1]
+                code = (gram & np.uint64((1 << 24) - 1)).astype(np.uint32)[fresh]
+                gram = gram[fresh]
+                gram >>= np.uint64(24)
+            else:
+                order = np.lexsort((code, gram))
+                gram, code = gram[order], code[order]
+                fresh = np.ones(len(gram), bool)
+                fresh[1:] = (gram[1:] != gram[:-1]) | (code[1:] != code[:-1])
+                gram, code = gram[fresh], code[fresh]
+            same = gram[1:] == gram[:-1]
+            more = np.zeros(len(gram), bool)
+            more[1:] |= same
+            more[:-1] |= same
             if often:
-                more |= np.isin(gram[starts], np.concatenate(often))
-            keys, shared = np.unique(key[np.repeat(more, size)], return_counts=True)
-            none = [None] * len(keys)
-            yield common.record(COUNTED, kind=[SHARED] * len(keys), doc_id=none, name=none, key=keys.view(np.int64), n=none, shared=shared)
+                known = np.unique(np.concatenate(often))
+                first = np.searchsorted(gram, known, "left")
+                more[concat_ranges(first, np.searchsorted(gram, known, "right") - first)] = True
+            shared = np.bincount(code[more], minlength=len(keys))
+            has = np.flatnonzero(shared)
+            none = [None] * len(has)
+            yield common.record(COUNTED, kind=[SHARED] * len(has), doc_id=none, name=none, key=keys[has].view(np.int64), n=none, shared=shared[has])
         held.clear()
         often.clear()
 
@@ -168,12 +189,12 @@ def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if blocks[i] != now:
                 yield from counted()
                 now = blocks[i]
-            grams = grams_of(batch.column("grams")[i].as_py())
+            raw = batch.column("grams")[i].as_py()
             if kinds[i] == REPEATED:
-                often.append(grams)
+                often.append(grams_of(raw))
             else:
-                owners = np.frombuffer(batch.column("owners")[i].as_py(), np.uint64)
-                held.append((grams, np.repeat(owners, np.frombuffer(batch.column("counts")[i].as_py(), np.uint32))))
+                owners, counts = (np.frombuffer(batch.column(c)[i].as_py(), kind) for c, kind in (("owners", np.uint64), ("counts", np.uint32)))
+                held.append((raw, owners, counts))
     yield from counted()
 
 
@@ -388,6 +409,7 @@ def exact_links(percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    sets, _ = common.split(sets, "key", pairs.select("a").union(pairs.select("b")))
     right = sets.select(F.col("key").alias("b"), F.col("grams").alias("right"))
     left = sets.select(F.col("key").alias("a"), F.col("grams").alias("left"))
     return pairs.join(right, "b").join(left, "a").mapInArrow(exact_links(percent), "a bigint, b bigint")
@@ -426,7 +448,8 @@ def connected(sets: DataFrame, percent: int) -> DataFrame:
         rows = common.keep(open_marks(marks, roots), "ngram-open")
         if rows.isEmpty():
             return roots
-        drawn = sets.mapInArrow(sketches(FINE if mode == ALL else CELLS), "key bigint, n bigint, sketch binary")
+        drawn, _ = common.split(sets, "key", rows.select("key"))
+        drawn = drawn.mapInArrow(sketches(FINE if mode == ALL else CELLS), "key bigint, n bigint, sketch binary")
         given = common.keep(candidates_of(rows, drawn, percent, mode), "ngram-pairs")
         if mode == TREE:
             marks = given.where("open").select(F.col("a").alias("mark"), F.col("b").alias("key"))
@@ -449,7 +472,8 @@ def labelled(documents: DataFrame, width: int, percent: int) -> DataFrame:
     blocks = common.parts(docs, BLOCK_BYTES)
     posted = docs.mapInArrow(incidence(width, blocks), INCIDENCE_DDL)
     dealt = posted.repartition(blocks, "block").sortWithinPartitions("block")
-    counted = common.keep(dealt.mapInArrow(accumulate, COUNTED_DDL), "ngram-incidence", "kind")
+    with common.small_batches(docs.sparkSession):
+        counted = common.keep(dealt.mapInArrow(accumulate, COUNTED_DDL), "ngram-incidence", "kind")
     rows = counted.where(F.col("kind") == DOC).select("doc_id", "name", "key", "n")
     # A class is told by one of its rows, whether that has an id or not.
     one = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), F.col("doc_id").isNull().alias("none"), "name"))
@@ -460,9 +484,13 @@ def labelled(documents: DataFrame, width: int, percent: int) -> DataFrame:
     if left.isEmpty():
         return rows.withColumn("root", F.col("key"))
     known = left.select(F.col("doc_id").alias("left_id"), F.col("name").alias("left_name"), "key")
-    wanted = docs.join(known, (F.col("name") == F.col("left_name")) & F.col("doc_id").eqNullSafe(F.col("left_id")))
+    # Texts of no such class are not exchanged for the join.
+    wanted, _ = common.split(docs, "name", known.select("left_name"))
+    wanted = wanted.join(known, (F.col("name") == F.col("left_name")) & F.col("doc_id").eqNullSafe(F.col("left_id")))
     sets = wanted.select("doc_id", "text", "key").mapInArrow(sets_of(width), "key bigint, n bigint, grams binary").dropDuplicates(["key"])
-    roots = connected(common.keep(sets, "ngram-sets"), percent)
+    with common.small_batches(docs.sparkSession):
+        sets = common.keep(sets, "ngram-sets")
+        roots = connected(sets, percent)
     return rows.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
@@ -491,11 +519,13 @@ def one_of_each(documents: DataFrame, width: int = 5, percent: int = 75) -> Data
     rows = common.keep(labelled(documents.select("doc_id", "text"), width, percent), "ngram-rows")
     last = F.lit(2**63 - 1)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", last).alias("doc_id"), "name")
-    first = rows.where("n > 0").groupBy("root").agg(F.min(order).alias("first")).select("first.*")
-    chosen = first.select(F.when(~F.col("none"), F.col("doc_id")).alias("kept_id"), F.col("name").alias("kept_name"))
+    parts = rows.where("n > 0").groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("size"))
+    chosen = parts.select("first.*").select(F.when(~F.col("none"), F.col("doc_id")).alias("kept_id"), F.col("name").alias("kept_name"))
     blank = rows.where("n = 0").select("doc_id", "name").distinct().select(F.col("doc_id").alias("kept_id"), F.col("name").alias("kept_name"), F.lit(True).alias("blank"))
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
     held = documents.select(whole, F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("name"))
     same = (F.col("name") == F.col("kept_name")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    # A text that stands in no component of several rows stays where it is: its row is not exchanged.
+    held, alone = common.split(held, "name", rows.join(parts.where("size > 1"), "root", "left_semi").select("name"))
     found = held.join(chosen, same).groupBy("doc_id", "name").agg(F.first("row").alias("row"))
-    return found.select("row.*").unionByName(held.join(blank, same).select("row.*"))
+    return alone.select("row.*").unionByName(found.select("row.*")).unionByName(held.join(blank, same).select("row.*"))

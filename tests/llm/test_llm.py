@@ -92,6 +92,63 @@ def test_pairs_of_a_block(mode):
     assert mode != ngram_join.NEAREST or {k for p in pairs for k in p} == set(range(12))
 
 
+def test_split_by_a_bitmap(spark):
+    """No key is missed, few others pass, and the rows are not exchanged."""
+    rows = spark.range(40_000).select(F.when(F.col("id") > 0, F.col("id") * 7919 - 50_000_000).alias("x"), F.lit("text").alias("text"))
+    wanted = rows.where("x % 50 = 0 OR x IS NULL").select(F.col("x").alias("y"))
+    asked, others = common.split(rows, "x", wanted)
+    keys, found = {r["y"] for r in wanted.collect()}, Counter(r["x"] for r in asked.collect())
+    assert None in keys and keys <= set(found) and len(found) < len(keys) + 100
+    assert Counter(r["x"] for r in others.collect()) + found == Counter(r["x"] for r in rows.collect())
+    assert asked.columns == rows.columns and "Join LeftSemi" in asked._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin" not in asked._jdf.queryExecution().executedPlan().toString()
+    none, every = common.split(rows, "x", wanted.limit(0))
+    assert none.count() == 0 and every.count() == 40_000
+
+
+@pytest.mark.parametrize("owners", [1 << 24, 1])
+def test_counts_of_a_block(owners, monkeypatch):
+    """How many n-grams of a class another class has, in whichever way they are sorted, within 32 bytes an n-gram."""
+    import tracemalloc
+
+    monkeypatch.setattr(ngram_join, "OWNERS", owners)
+    r = np.random.default_rng(5)
+    grams = {k: r.integers(0, 2**40, 400, dtype=np.uint64) for k in range(2000)}
+    for k in range(0, 2000, 4):
+        grams[k + 1][:100] = grams[k][:100]
+    low = lambda g: np.ascontiguousarray(g).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    parts = [list(grams)[k : k + 100] for k in range(0, 2000, 100)] + [[0, 7]]  # two classes come twice
+    rows = {"kind": [ngram_join.POSTED] * len(parts) + [ngram_join.REPEATED], "block": [1] * (len(parts) + 1)}
+    rows["grams"] = [b"".join(low(grams[k]) for k in part) for part in parts] + [low(grams[3][:5])]
+    rows["owners"] = [np.array(part, np.uint64).tobytes() for part in parts] + [None]
+    rows["counts"] = [np.full(len(part), 400, np.uint32).tobytes() for part in parts] + [None]
+    batch = common.record(ngram_join.INCIDENCE, **{f.name: rows.get(f.name, [None] * (len(parts) + 1)) for f in ngram_join.INCIDENCE})
+    tracemalloc.start()
+    found = {row["key"]: row["shared"] for b in ngram_join.accumulate(iter([batch])) for row in b.to_pylist()}
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {k: 5 if k == 3 else 100 for k in range(2000) if k % 4 < 2 or k == 3}
+    assert owners == 1 or most < 32 * 800_000, most / 800_000
+
+
+def test_lone_texts_are_not_exchanged(spark, monkeypatch):
+    """Of 200 texts, 4 are near copies: no join meets more than their texts and sets, and a few that share a bit with one."""
+    words = prose(7, 200).split()
+    near = [" ".join([*words[:k], "changed", *words[k + 1 :]]) for k in (60, 80, 100, 120)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate([*near, *(prose(100 + k, 40) for k in range(196)), "", None])], "doc_id bigint, text string")
+    met, split = [], common.split
+
+    def counted(frame, column, keys):
+        asked, others = split(frame, column, keys)
+        met.append((column, asked.count()))
+        return asked, others
+
+    monkeypatch.setattr(ngram_join.common, "split", counted)
+    kept = ngram_join.one_of_each(rows).collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter([0, *range(4, 202)])
+    assert {column for column, _ in met} == {"name", "key"} and max(n for _, n in met) < 10
+
+
 def test_pairs_of_two_ranges(spark, monkeypatch):
     """Where an n-gram has several ranges of members, similar sets meet whatever the sizes of their sketches."""
     monkeypatch.setattr(ngram_join, "MEMBERS", 4)
