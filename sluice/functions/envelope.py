@@ -1,14 +1,15 @@
 """Typed access to a change event held in a variant.
 
-All functions read the column ``line``, a variant array that begins with the event,
-as the source parses it. Paths lead through the element, so the event itself is
-never copied out.
+``is_single``, ``fields`` and ``field`` read the column ``line``, a variant array that begins with the event, as the source
+parses it. The others read the column ``event``, the struct that ``fields`` takes out of it, or what ``header`` makes of
+that: to follow a path through the whole line costs as much as a good part of its parse, so each field is looked up once.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sluice.functions.cluster_time import MAX_ORDINAL, MAX_SECONDS
+from sluice.schema import EVENT_FIELDS
 
 
 def is_single() -> Column:
@@ -26,47 +27,42 @@ def field(name: str) -> Column:
     return F.try_variant_get("line", f"$[0]['{name}']", "variant")
 
 
-def _typed(path: str, json_type: str, spark_type: str) -> str:
-    # No cast between types: a number in a place that must hold a string is NULL.
-    found = f"try_variant_get(line, '$[0].{path}', 'variant')"
-    return (
-        f"CASE WHEN schema_of_variant({found}) = '{json_type}' "
-        f"THEN try_variant_get({found}, '$', '{spark_type}') END"
-    )
-
-
-def _string(path: str) -> Column:
-    return F.expr(_typed(path, "STRING", "string"))
-
-
-def _integer(path: str, largest: int) -> Column:
-    value = F.expr(_typed(path, "BIGINT", "bigint"))
-    return F.when(value.between(0, largest), value)
+def fields() -> Column:
+    """The seven fields of the event as a struct of variants: NULL when absent, variant null when JSON null."""
+    names = ", ".join(f"{name}: variant" for name in EVENT_FIELDS)
+    return F.expr(f"try_variant_get(line, '$[0]', 'struct<{names}>')")
 
 
-def token() -> Column:
-    """The position; NULL when ``_id`` is no object or holds no ``_data`` string."""
-    return _string("_id._data")
+# What the header is made of, and the JSON type each must have.
+_HEADER = {
+    "token": ("_id", "$._data", "STRING", "string"),
+    "operationType": ("operationType", "$", "STRING", "string"),
+    "T": ("clusterTime", "$.T", "BIGINT", "bigint"),
+    "I": ("clusterTime", "$.I", "BIGINT", "bigint"),
+    "db": ("ns", "$.db", "STRING", "string"),
+    "coll": ("ns", "$.coll", "STRING", "string"),
+}
+HEADER_FIELDS = tuple(_HEADER)
+_LARGEST = {"T": MAX_SECONDS, "I": MAX_ORDINAL}
 
 
-def operation() -> Column:
-    return _string("operationType")
+def found(name: str) -> Column:
+    """A header field as a variant, from the column ``event``."""
+    field, path, _, _ = _HEADER[name]
+    return F.try_variant_get(F.col("event")[field], path, "variant") if path != "$" else F.col("event")[field]
 
 
-def database() -> Column:
-    return _string("ns.db")
-
-
-def collection() -> Column:
-    return _string("ns.coll")
-
-
-def seconds() -> Column:
-    return _integer("clusterTime.T", MAX_SECONDS)
+def typed(name: str) -> Column:
+    """A header field from the column of its name that holds its variant; NULL when it is absent or of another type."""
+    # No cast between types: a number in a place that must hold a string is NULL.
+    _, _, json_type, spark_type = _HEADER[name]
+    return F.expr(f"CASE WHEN schema_of_variant({name}) = '{json_type}' THEN try_variant_get({name}, '$', '{spark_type}') END")
 
 
-def ordinal() -> Column:
-    return _integer("clusterTime.I", MAX_ORDINAL)
+def in_range(name: str) -> Column:
+    """A typed header field, NULL where it is a number that cannot be part of a cluster time."""
+    value = F.col(name)
+    return F.when(value.between(0, _LARGEST[name]), value) if name in _LARGEST else value
 
 
 def ordering_key(name: str) -> Column:

@@ -21,6 +21,8 @@ LATEST = "latest"
 
 # Names the file of a line where it is known.
 FILE = "file"
+# Events in one file of the archive, at most. A file is mostly one row group, and a row group is read by one task.
+FILE_EVENTS = 100_000
 
 
 def file_name() -> Column:
@@ -89,25 +91,21 @@ def decode(parsed: DataFrame, ordering_by: str | None = None) -> DataFrame:
     expression copied into them, and every line would be parsed many times over.
     Payload columns are left out of it, so unused ones are pruned.
     """
-    header = {
-        "parsed": envelope.is_single() & F.expr(r"btrim(raw, ' \t\r\n')").endswith("}"),
-        "token": envelope.token(),
-        "operationType": envelope.operation(),
-        "T": envelope.seconds(),
-        "I": envelope.ordinal(),
-        "db": envelope.database(),
-        "coll": envelope.collection(),
-    }
+    file = _file(parsed)
+    # Most lines end with the bracket, and to trim a line costs more than to look at its end.
+    closed = F.col("raw").endswith("}") | F.expr(r"btrim(raw, ' \t\r\n')").endswith("}")
+    first = {"parsed": envelope.is_single() & closed}
     if ordering_by:
-        header["ordering_key"] = envelope.ordering_key(ordering_by)
+        first["ordering_key"] = envelope.ordering_key(ordering_by)
+    event = parsed.select("raw", envelope.fields().alias("event"), *file, *[c.alias(name) for name, c in first.items()])
+    # A step for each use, so that what is used twice is computed once.
+    kept = ["raw", "event", *file, *first]
+    found = event.select(*kept, *[envelope.found(name).alias(name) for name in envelope.HEADER_FIELDS])
+    typed = found.select(*kept, *[envelope.typed(name).alias(name) for name in envelope.HEADER_FIELDS])
+    header = {name: F.col(name) for name in first} | {name: envelope.in_range(name) for name in envelope.HEADER_FIELDS}
     named = [column.alias(name) for name, column in header.items()]
-    file = _file(parsed)
-    extracted = parsed.select("raw", "line", *file, *named)
-    once = extracted.select("raw", "line", *file, F.inline(F.array(F.struct(*header))))
-    payloads = [
-        json_text.encode(envelope.field(name)).alias(name)
-        for name in PAYLOAD_FIELDS
-    ]
+    once = typed.select("raw", "event", *file, F.inline(F.array(F.struct(*named))))
+    payloads = [json_text.encode(F.col("event")[name]).alias(name) for name in PAYLOAD_FIELDS]
     return once.select("raw", *file, *header, *payloads)
 
 
@@ -120,7 +118,8 @@ def write_archive(events: DataFrame, path: str, mode: str = "append") -> None:
     """Store encoded events as a day-partitioned archive.
 
     Rows are rebalanced by day first: days become few files of even size, and a day
-    that holds most rows is split over several tasks.
+    that holds most rows is split over several tasks. Files hold at most ``FILE_EVENTS``, so
+    the days of a replay are read by as many tasks as their events need.
     """
     days = events.select(*encoded_columns(events)).withColumn(
         "cluster_date", cluster_time.as_date(F.col("T"))
@@ -129,6 +128,7 @@ def write_archive(events: DataFrame, path: str, mode: str = "append") -> None:
         days.hint("rebalance", "cluster_date")
         .write.mode(mode)
         .partitionBy("cluster_date")
+        .option("maxRecordsPerFile", FILE_EVENTS)
         .parquet(path)
     )
 

@@ -1,7 +1,7 @@
 """Scan, namespace, resume and start position."""
 
 import pytest
-from events import encoded, event
+from events import decoded, encoded, event
 from pyspark.sql import functions as F
 
 from sluice.operators import audit
@@ -131,3 +131,26 @@ def test_a_resume_finds_its_token_in_the_ledger(spark, monkeypatch):
     found = catalog.resume_after_token(spark, "/root/testdata/sf0.001").count()
     (token, positions), = asked
     assert found > 0 and positions.where(F.col("token") == token.rstrip("\n")).count() == 1
+
+
+def test_a_line_is_searched_once_for_all_its_fields(spark):
+    plan = encoded(spark, [event("a")])._jdf.queryExecution().executedPlan().toString()
+    # Besides the one for the fields, two for the seal behind the event.
+    assert plan.count("try_variant_get(line") == 3
+
+
+def test_fields_of_other_types_and_of_no_object_are_null(spark):
+    odd = ['{"_id":"a","operationType":7,"clusterTime":{"T":"1","I":4294967296},"ns":[1],"fullDocument":null}', "5", '{"_id":{"_data":1}} \n']
+    rows = {r["raw"]: r for r in decoded(spark, odd).collect()}
+    first = rows[odd[0]]
+    assert [first[c] for c in ("token", "operationType", "T", "I", "db", "coll")] == [None] * 6
+    assert [first[c] for c in ("_id", "fullDocument", "ns", "documentKey")] == ['"a"', "null", "[1]", "null"]
+    assert [rows[line]["parsed"] for line in odd] == [True, False, True]
+    assert rows[odd[2]]["token"] is None and rows[odd[1]]["_id"] == "null"
+
+
+def test_a_day_of_the_archive_is_read_by_as_many_tasks_as_its_events_need(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(change_log, "FILE_EVENTS", 10)
+    change_log.write_archive(encoded(spark, [event(f"{n:02}", 10, n) for n in range(25)]), str(tmp_path / "archive"))
+    stored = change_log.read_archive(spark, str(tmp_path / "archive"))
+    assert len(stored.inputFiles()) >= 3 and tokens(stored) == [f"{n:02}" for n in range(25)]
