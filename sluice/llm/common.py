@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.workspace import fresh_dir
@@ -86,13 +86,17 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     Alternates large and small stars until nothing changes. Minima are partial aggregates, so a hub costs one row
     for each task; the joins that follow may be split by adaptive execution.
     """
-    now = edges.select("a", "b").where("a <> b").distinct()
-    now, before, rounds = keep(now, purpose), None, 0
-    while True:
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if state == before or state["n"] == 0:
-            break
-        before, rounds = state, rounds + 1
+
+    def written(frame: DataFrame) -> tuple[DataFrame, dict]:
+        # Counted as the rows are written, not by a job of its own.
+        seen = Observation()
+        out = keep(frame.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")), purpose)
+        return out, seen.get
+
+    now, state = written(edges.select("a", "b").where("a <> b").distinct())
+    before = None
+    while state != before and state["n"]:
+        before = state
         both = now.select("a", "b").union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -101,7 +105,7 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        now = keep(small, purpose)
+        now, state = written(small)
     roots = now.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "id")
     ends = now.select(F.col("b").alias("id")).distinct()
     return roots.unionByName(ends.join(roots, "id", "left_anti").withColumn("root", F.col("id")))

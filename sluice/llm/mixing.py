@@ -2,7 +2,9 @@
 
 Only DataFrame functions. Tokens are summed by cell (source, language, topic); rounds of raking scale the cells until their
 marginals are the targets; each document of a cell is kept with the cell's probability, decided by a hash of its id, so
-a repeated run keeps the same documents. Cells are far fewer than documents; a round is three window sums over them.
+a repeated run keeps the same documents. Cells are far fewer than documents: their number is that of the combinations of values,
+whatever the number of rows. A round is three window sums over them in one partition, so rounds exchange nothing, and the driver
+plans one stage for all windows of a plan; to deal a few hundred cells by each side in turn took it a stage a window.
 
 No cell gives more than its tokens. Targets are first made reachable: a value whose target exceeds its tokens gives all of
 them, the others share what is left in proportion. Then every cell has a pull, and weighs its pull or its room, whichever is
@@ -57,9 +59,9 @@ def reachable(cells: DataFrame, side: str, target: DataFrame, budget: float = BU
 
     The values of one side are summed in one window; they are names of sources, languages or topics, not documents.
     """
-    room = cells.groupBy(side).agg(F.sum("tokens").cast("double").alias("tokens"))
+    room = cells.coalesce(1).groupBy(side).agg(F.sum("tokens").cast("double").alias("tokens"))
     everything = Window.partitionBy(F.lit(side))
-    now = room.join(target.select(side, F.col("target").cast("double").alias("pull")), side)
+    now = room.join(F.broadcast(target.select(side, F.col("target").cast("double").alias("pull"))), side)
     now = now.withColumn("room", F.col("tokens") / (F.sum("tokens").over(everything) * budget))
     # From below, every turn comes nearer to the one factor at which the values that are not full take all that is left.
     for _ in range(rounds):
@@ -72,9 +74,9 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
 
     With a budget, no weight exceeds the cell's room: the share of the kept tokens that all its tokens make. Without one, cells have no bound.
     """
-    now = cells
+    now = cells = cells.coalesce(1)
     for side in SIDES:
-        now = now.join(targets[side].select(side, F.col("target").alias(f"to_{side}")), side, "left")
+        now = now.join(F.broadcast(targets[side].select(side, F.col("target").alias(f"to_{side}"))), side, "left")
     now = now.na.fill(0.0, [f"to_{side}" for side in SIDES])
     # One row, so the join is as long as the cells.
     everything = cells.agg(F.sum("tokens").cast("double").alias("all_tokens"))
@@ -86,7 +88,7 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
             total = F.sum(weight).over(Window.partitionBy(side))
             now = now.withColumn("pull", F.when(total > 0, F.col("pull") * F.col(f"to_{side}") / total).otherwise(0.0))
         if turn % 4 == 3:
-            now = common.keep(now, "mixing-cells")
+            now = common.keep(now, "mixing-cells").coalesce(1)
     return now.select(*SIDES, "tokens", weight.alias("weight"))
 
 
@@ -101,7 +103,7 @@ def calibrated(documents: DataFrame, targets: dict[str, DataFrame] | None = None
 
 
 def calibrated_rows(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float) -> DataFrame:
-    cells = common.keep(rows.groupBy(*SIDES).agg(F.sum("tokens").alias("tokens")), "mixing-sums")
+    cells = common.keep(rows.groupBy(*SIDES).agg(F.sum("tokens").alias("tokens")), "mixing-sums").coalesce(1)
     aims = targets or {side: flattened(cells, side) for side in SIDES}
     aims = {side: common.keep(reachable(cells, side, aims[side], budget), "mixing-targets") for side in SIDES}
     out = raked(cells, aims, budget=budget)

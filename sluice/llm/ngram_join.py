@@ -443,11 +443,12 @@ def connected(sets: DataFrame, percent: int) -> DataFrame:
     marks = common.keep(sets.mapInArrow(prefix_rows(percent, often), "mark bigint, key bigint, n bigint").drop("n"), "ngram-marks")
     # Trees connect what the stars have left of large groups, then each set its nearest one, as long as that finds links;
     # at last every pair that is still apart and may be similar is counted.
-    mode = TREE
+    mode, rows = TREE, None
     while True:
-        rows = common.keep(open_marks(marks, roots), "ngram-open")
-        if rows.isEmpty():
-            return roots
+        if rows is None:
+            rows = common.keep(open_marks(marks, roots), "ngram-open")
+            if rows.isEmpty():
+                return roots
         drawn, _ = common.split(sets, "key", rows.select("key"))
         drawn = drawn.mapInArrow(sketches(FINE if mode == ALL else CELLS), "key bigint, n bigint, sketch binary")
         given = common.keep(candidates_of(rows, drawn, percent, mode), "ngram-pairs")
@@ -462,6 +463,8 @@ def connected(sets: DataFrame, percent: int) -> DataFrame:
             roots = common.components(edges, "ngram-roots")
         if mode == ALL:
             return roots
+        # What is open changes only with the roots or the marks.
+        rows = None if found or mode == TREE else rows
         mode = NEAREST if found or mode == TREE else ALL
 
 

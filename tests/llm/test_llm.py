@@ -457,3 +457,35 @@ def test_mixing_reaches_what_the_cells_can_give(spark, docs):
     for aim in aims["source"].collect():
         assert abs(aim["target"] - (room[aim["source"]] if aim["source"] in full else wish[aim["source"]] * factor)) < 1e-6
     assert full
+
+
+def test_rounds_of_mixing_exchange_nothing(spark, docs):
+    cells = docs.transform(mixing.described).groupBy(*mixing.SIDES).agg(F.sum("tokens").alias("tokens"))
+    cells = common.keep(cells.repartition(3), "test-cells")
+    aims = {side: common.keep(mixing.reachable(cells, side, mixing.flattened(cells.coalesce(1), side)), "test-aims") for side in mixing.SIDES}
+    for frame in (mixing.raked(cells, aims, 3, 0.6), mixing.reachable(cells, "lang", aims["lang"])):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan
+
+
+def test_open_ngrams_are_looked_up_again_only_after_a_change(spark, monkeypatch):
+    found, looked, modes = ngram_join.open_marks, [], []
+
+    def all_open(rows, drawn, percent, mode):
+        modes.append(mode)
+        return rows.select(F.lit(True).alias("open"), F.col("mark").alias("a"), F.col("key").alias("b"))
+
+    monkeypatch.setattr(ngram_join, "open_marks", lambda *a: looked.append(a) or found(*a))
+    monkeypatch.setattr(ngram_join, "candidates_of", all_open)
+    # Two sets with four n-grams in common of sixteen: a block of open ones in which no round finds a link.
+    grams = [np.array([*range(4), *range(own, own + 12)], np.uint64).tobytes() for own in (100, 200)]
+    sets = spark.createDataFrame([(k + 1, 16, g) for k, g in enumerate(grams)], "key bigint, n bigint, grams binary")
+    assert ngram_join.connected(sets, 75).count() == 0
+    assert modes == [ngram_join.TREE, ngram_join.NEAREST, ngram_join.ALL] and len(looked) == 2
+
+
+def test_components_count_rows_as_they_write_them(spark, monkeypatch):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (7, 5), (5, 5), (7, 5)], "a bigint, b bigint")
+    monkeypatch.setattr(type(edges), "first", lambda *a: pytest.fail("a job that only counts"))
+    assert {tuple(r) for r in common.components(edges, "test-links").collect()} == {(1, 1), (2, 1), (3, 1), (7, 5), (5, 5)}
+    assert common.components(edges.where("a = b"), "test-links").count() == 0
