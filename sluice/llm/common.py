@@ -100,7 +100,8 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         both = now.select("a", "b").union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        # Read twice below, so what is above is not planned twice.
+        large = keep(large.where("a <> b").distinct(), purpose)
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

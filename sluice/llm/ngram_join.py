@@ -419,6 +419,8 @@ def open_marks(marks: DataFrame, roots: DataFrame) -> DataFrame:
     """(mark, key, root, size) of the n-grams whose sets are not all connected."""
     root = F.coalesce("root", "key")
     rows = marks.join(roots.withColumnRenamed("id", "key"), "key", "left").select("mark", "key", root.alias("root"))
+    # Read twice below, so the join is not made and planned twice.
+    rows = common.keep(rows, "ngram-rooted")
     several = rows.groupBy("mark").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size")).where("least <> most")
     return rows.join(several.select("mark", "size"), "mark")
 
@@ -522,7 +524,7 @@ def one_of_each(documents: DataFrame, width: int = 5, percent: int = 75) -> Data
     rows = common.keep(labelled(documents.select("doc_id", "text"), width, percent), "ngram-rows")
     last = F.lit(2**63 - 1)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", last).alias("doc_id"), "name")
-    parts = rows.where("n > 0").groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("size"))
+    parts = common.keep(rows.where("n > 0").groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("size")), "ngram-parts")
     chosen = parts.select("first.*").select(F.when(~F.col("none"), F.col("doc_id")).alias("kept_id"), F.col("name").alias("kept_name"))
     blank = rows.where("n = 0").select("doc_id", "name").distinct().select(F.col("doc_id").alias("kept_id"), F.col("name").alias("kept_name"), F.lit(True).alias("blank"))
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
